@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +72,22 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts, uuid.uuid4().hex])
 
 
+@contextmanager
+def conf_override(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Set SQL settings for the actions run inside the block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
@@ -79,4 +97,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["RUNTIME_CONF", "configure_session", "build_session", "shared_dir", "is_local_path", "local_path"]
+__all__ = ["RUNTIME_CONF", "configure_session", "build_session", "shared_dir", "conf_override", "is_local_path", "local_path"]

@@ -18,6 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skewsafe.schemas import DECLARED_TARGET, ddl
+from skewsafe.session import conf_override
+
+# A directory-partitioned write produces at least one file per partition
+# value whatever the task count, so merging small shuffle partitions saves
+# no files and only serialises the writes. Oversized partitions are still
+# split by AQE's rebalance skew handling.
+_NO_COALESCE = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -47,8 +54,10 @@ def write_partitioned(
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if parts:
-        writer = writer.partitionBy(*parts)
-    writer.save(path)
+        with conf_override(df.sparkSession, _NO_COALESCE):
+            writer.partitionBy(*parts).save(path)
+    else:
+        writer.save(path)
 
 
 def write_day_partitioned(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet",
