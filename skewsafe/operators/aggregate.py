@@ -37,7 +37,7 @@ def aggregate_orders(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, by_date: b
     (NULL amounts included), ``date`` is the group's first day.
     ``by_date=True`` adds ``date`` to the grouping keys.
     """
-    group = [*keys, "date"] if by_date else list(keys)
+    group = list(by_date_keys(keys)) if by_date else list(keys)
     agg = df.groupBy(*group).agg(
         money_sum("amount").alias("total_amount"),
         F.count(F.lit(1)).alias("order_count"),
@@ -56,6 +56,11 @@ def _finish_by_date(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def by_date_keys(keys: Sequence[str] = GROUP_KEYS) -> tuple[str, ...]:
+    """Grouping keys used by ``aggregate_orders(..., by_date=True)``."""
+    return (*keys, "date")
+
+
 def aggregate_salted(
     df: DataFrame,
     hot_keys: Iterable[object] | None,
