@@ -168,13 +168,15 @@ def staged_publish(
 ) -> int:
     """Write to a staging location, check it, then publish its partitions.
 
+    The staged copy is plain files (no partition folders), so the result is
+    computed once and the partitioned layout is paid for once, at publish.
     The target is touched only after the staged copy is complete and, when
     ``expected_rows`` is given, has that many rows. Publishing uses dynamic
     overwrite: partitions not in the batch stay as they were.
     """
     spark = df.sparkSession
-    write_partitioned(df, staging_path, partition_by, (), fmt, mode="overwrite")
-    staged = read_target(spark, staging_path, schema, fmt)
+    write_table(df.hint("rebalance"), staging_path, fmt)
+    staged = spark.read.format(fmt).schema(schema).load(staging_path)
     rows = staged.count()
     if expected_rows is not None and rows != expected_rows:
         raise RuntimeError(f"staged {rows} rows, expected {expected_rows}; target left unchanged")

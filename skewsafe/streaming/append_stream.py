@@ -4,6 +4,11 @@ Each micro-batch is aggregated on its own and written to its own
 ``batch_id`` partition (the epoch id) with dynamic overwrite. If an epoch
 is re-run after a failure, the same partition is rewritten, so the table
 never holds a batch twice. The checkpoint folder must be on shared storage.
+
+By default a batch is not split into day folders: a stream writes many
+batches, and batches x days makes many tiny files. Rows are sorted by day
+inside the files instead, so a date filter still skips row groups by their
+min/max statistics. Pass ``partition_by=("date",)`` for day folders.
 """
 
 from __future__ import annotations
@@ -33,7 +38,8 @@ def append_stream(
     target_path: str,
     checkpoint_path: str,
     aggregate: Callable[[DataFrame], DataFrame] = aggregate_orders,
-    partition_by: Sequence[str] = ("date",),
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = ("date", "partition_key", "customer_id"),
     available_now: bool = True,
     processing_time: str | None = None,
     fmt: str = "parquet",
@@ -41,7 +47,7 @@ def append_stream(
     """Start the stream: ``aggregate`` each batch, write it as batch ``epoch_id``."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        write_batch(aggregate(batch), target_path, epoch_id, partition_by, fmt=fmt)
+        write_batch(aggregate(batch), target_path, epoch_id, partition_by, cluster_by, fmt=fmt)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
     if processing_time:

@@ -28,10 +28,10 @@ SHARES = {"0": (10, 0), "0.5": (10, 5), "0.8": (10, 8), "0.99": (100, 99)}
 
 def _stage_stats(log_dir: str) -> dict[str, dict]:
     """Per job description: wall ms and per-stage max / median task run time."""
-    (path,) = glob.glob(os.path.join(log_dir, "*"))
+    files = sorted(f for f in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True) if os.path.isfile(f))
     jobs, stage_job, tasks = {}, {}, {}
-    with open(path) as fh:
-        for line in fh:
+    for f in files:
+        for line in open(f):
             ev = json.loads(line)
             kind = ev["Event"]
             if kind == "SparkListenerJobStart":
@@ -63,6 +63,7 @@ def main() -> None:
     spark = build_session("skewsafe-sweep", master="local[8]", shuffle_partitions=32, extra={
         "spark.eventLog.enabled": "true",
         "spark.eventLog.dir": log_dir,
+        "spark.eventLog.compress": "false",
         "spark.checkpoint.dir": os.path.join(scratch, "shared"),
         "spark.driver.memory": "16g",
     })
