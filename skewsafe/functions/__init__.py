@@ -1,6 +1,7 @@
 from skewsafe.functions.columns import (
     as_date,
     day_string,
+    distinct_count,
     exact_avg,
     money,
     money_sum,
@@ -12,6 +13,6 @@ from skewsafe.functions.columns import (
 )
 
 __all__ = [
-    "as_date", "day_string", "exact_avg", "money", "money_sum", "null_flag",
+    "as_date", "day_string", "distinct_count", "exact_avg", "money", "money_sum", "null_flag",
     "percent", "ratio", "run_timestamp", "salt",
 ]

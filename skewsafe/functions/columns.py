@@ -39,6 +39,11 @@ def exact_avg(c: ColumnOrName, scale: int = 2) -> Column:
     return F.sum(col.cast(f"decimal(18,{scale})")).cast("double") / F.count(col)
 
 
+def distinct_count(c: ColumnOrName, approx: bool = False, rsd: float = 0.05) -> Column:
+    """``COUNT(DISTINCT c)``; ``approx=True`` uses HyperLogLog++ (fixed-size state, no expand)."""
+    return F.approx_count_distinct(_c(c), rsd) if approx else F.countDistinct(_c(c))
+
+
 def ratio(total: ColumnOrName, count: ColumnOrName) -> Column:
     """``total / count`` (P2). ``count`` is COUNT(*), so NULL amounts weigh 0."""
     return _c(total) / _c(count)

@@ -7,32 +7,33 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewsafe.functions.columns import as_date, exact_avg, null_flag
+from skewsafe.functions.columns import as_date, distinct_count, exact_avg, null_flag
 from skewsafe.operators.skew import skew_share
 
 
-def table_summary(v: DataFrame) -> DataFrame:
+def table_summary(v: DataFrame, approx: bool = False) -> DataFrame:
     """Rows, distinct keys, mean group total (J6a). One row, also when empty."""
     return v.agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.countDistinct("partition_key").alias("unique_keys"),
+        distinct_count("partition_key", approx).alias("unique_keys"),
         exact_avg("total_amount", 2).alias("avg_amount"),
     )
 
 
-def completeness(rows: DataFrame) -> DataFrame:
+def completeness(rows: DataFrame, approx: bool = False) -> DataFrame:
     """Per day over order rows: rows, distinct customers and keys, NULL amounts.
 
     Runs on order rows (the aggregated table has no ``amount``). The two
     distinct counts share one scan: Spark expands each row once per
     distinct column and de-duplicates map-side before the shuffle.
+    ``approx=True`` uses HyperLogLog++ sketches instead (no expand).
     """
     return (
         rows.groupBy("date")
         .agg(
             F.count(F.lit(1)).alias("total_records"),
-            F.countDistinct("customer_id").alias("unique_customers"),
-            F.countDistinct("partition_key").alias("unique_partitions"),
+            distinct_count("customer_id", approx).alias("unique_customers"),
+            distinct_count("partition_key", approx).alias("unique_partitions"),
             F.sum(null_flag("amount")).cast("bigint").alias("null_amounts"),
         )
         .orderBy("date")

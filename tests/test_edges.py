@@ -98,3 +98,18 @@ def test_align_to_schema_fills_missing(spark):
     aligned = align_to_schema(v, TARGET_V3)
     assert aligned.columns == TARGET_V3.fieldNames()
     assert aligned.where("order_id IS NOT NULL").count() == 0
+
+
+def test_approx_distinct_is_close(spark):
+    from skewsafe.sources.tables import orders_from_tpch
+    from tests.conftest import SF_SMALL
+
+    rows = orders_from_tpch(spark, SF_SMALL)
+    exact = {r.date: r.unique_customers for r in quality.completeness(rows).collect()}
+    approx = {r.date: r.unique_customers for r in quality.completeness(rows, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= max(1, 0.15 * exact[d]) for d in exact)
+    v = aggregate_orders(rows)
+    assert reports.daily_metrics(v, approx=True).count() == reports.daily_metrics(v).count()
+    exact_keys = quality.table_summary(v).first().unique_keys
+    assert abs(quality.table_summary(v, approx=True).first().unique_keys - exact_keys) <= 1
