@@ -35,6 +35,28 @@ def configure_session(spark: SparkSession, shuffle_partitions: int | None = None
     return spark
 
 
+def sizing_conf(
+    shuffle_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 200 * 1024**2,
+    scan_split_bytes: int = 256 * 1024**2,
+) -> dict[str, str]:
+    """Shuffle and scan sizing for an expected shuffle volume.
+
+    ``shuffle.partitions`` starts at about ``shuffle_bytes / target`` (and
+    at least three waves of tasks), so no reducer gets more than about
+    ``target`` bytes before AQE coalesces the small ones back to the same
+    advisory size. Example: the adapter join at 100 TB shuffles about 18 TB
+    of pruned columns, which gives about 90,000 partitions of about 200 MB.
+    """
+    partitions = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+    }
+
+
 def build_session(
     app_name: str = "skewsafe",
     master: str | None = None,
@@ -68,8 +90,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="skewsafe-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # core conf not settable at run time: getCheckpointDir() answers next time
+            pass
     base = base.rstrip("/")
     return "/".join([base, *parts, uuid.uuid4().hex])
 
@@ -99,4 +124,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["RUNTIME_CONF", "configure_session", "build_session", "shared_dir", "conf_override", "is_local_path", "local_path"]
+__all__ = ["RUNTIME_CONF", "configure_session", "build_session", "sizing_conf", "shared_dir", "conf_override", "is_local_path", "local_path"]

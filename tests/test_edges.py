@@ -113,3 +113,12 @@ def test_approx_distinct_is_close(spark):
     assert reports.daily_metrics(v, approx=True).count() == reports.daily_metrics(v).count()
     exact_keys = quality.table_summary(v).first().unique_keys
     assert abs(quality.table_summary(v, approx=True).first().unique_keys - exact_keys) <= 1
+
+
+def test_sizing_conf_scales_with_shuffle_volume():
+    from skewsafe.session import sizing_conf
+
+    small = sizing_conf(10 * 1024**2, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "24"  # three waves at least
+    big = sizing_conf(18 * 1024**4, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 18 * 1024**4 // (200 * 1024**2) + 1
