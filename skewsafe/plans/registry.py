@@ -11,7 +11,6 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skewsafe.operators import quality, reports
@@ -36,7 +35,7 @@ from skewsafe.sinks.writers import (
     write_day_partitioned,
 )
 from skewsafe.sources.tables import orders_from_tpch, plant_faults, preview
-from skewsafe.streaming.append_stream import orders_stream, run_append_stream
+from skewsafe.streaming.append_stream import files_per_trigger, orders_stream, run_append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +43,7 @@ AGG_COLUMNS = [*GROUP_KEYS, "total_amount", "order_count", "date", "avg_amount"]
 RUN_TS = _dt.datetime(2024, 1, 15, 12, 0, 0)
 HOT_SHARE = 0.05
 SALT_BUCKETS = 10
-STREAM_FILES = 4
+STREAM_BATCHES = 4
 
 
 def _v(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,9 +176,11 @@ def stream_append_rollup(spark, sf_dir):
     inbox = shared_dir(spark, "queries", "stream_inbox")
     target = shared_dir(spark, "queries", "stream_target")
     checkpoint = shared_dir(spark, "queries", "stream_checkpoint")
-    rows = orders_from_tpch(spark, sf_dir)
-    rows.repartition(STREAM_FILES, F.col("order_id")).write.mode("overwrite").parquet(inbox)
-    run_append_stream(orders_stream(spark, inbox, ORDERS, max_files_per_trigger=1), target, checkpoint)
+    # The inbox keeps the join's own partitioning: one file per task, so the
+    # files (and the stream's batches) grow with the input, not a fixed count.
+    orders_from_tpch(spark, sf_dir).write.mode("overwrite").parquet(inbox)
+    per_trigger = files_per_trigger(spark, inbox, STREAM_BATCHES)
+    run_append_stream(orders_stream(spark, inbox, ORDERS, max_files_per_trigger=per_trigger), target, checkpoint)
     stored = read_target(spark, target, with_field(TARGET, "batch_id", T.LongType()))
     return rollup_totals(stored)
 

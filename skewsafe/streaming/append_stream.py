@@ -25,14 +25,33 @@ from skewsafe.sinks.writers import write_batch
 
 
 def orders_stream(spark: SparkSession, path: str, schema: T.StructType = ORDERS, fmt: str = "parquet",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Unbounded scan of order files dropped into ``path``."""
+                  max_files_per_trigger: int | None = None,
+                  max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Unbounded scan of order files dropped into ``path``.
+
+    A micro-batch takes at most ``max_files_per_trigger`` files or about
+    ``max_bytes_per_trigger`` bytes (Spark allows one of the two), so a
+    backlog is worked off in bounded batches instead of one huge one.
+    """
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("give max_files_per_trigger or max_bytes_per_trigger, not both")
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     return reader.load(path)
 
 
+def files_per_trigger(spark: SparkSession, path: str, batches: int, fmt: str = "parquet") -> int:
+    """Files per micro-batch so the files now in ``path`` make about ``batches`` batches.
+
+    Uses the file listing only (no data is read).
+    """
+    files = len(spark.read.format(fmt).load(path).inputFiles())
+    return max(1, -(-files // max(1, batches)))
+
+
 def append_stream(
     stream: DataFrame,
     target_path: str,

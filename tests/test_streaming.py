@@ -29,3 +29,18 @@ def test_stream_rollup_and_replay(spark, scratch):
     # Re-running the finished query with the same checkpoint adds nothing.
     run_append_stream(orders_stream(spark, inbox, ORDERS, max_files_per_trigger=1), target, ckpt)
     assert _rows(read_target(spark, target, schema)) == before
+
+
+def test_batches_sized_by_files_or_bytes(spark, scratch):
+    from skewsafe.streaming.append_stream import files_per_trigger
+
+    inbox, target, ckpt = scratch + "/in", scratch + "/out", scratch + "/ckpt"
+    rows = orders_from_tpch(spark, SF_SMALL)
+    rows.repartition(6).write.parquet(inbox)
+    assert files_per_trigger(spark, inbox, 3) == 2
+    assert files_per_trigger(spark, inbox, 100) == 1
+    # A byte budget smaller than one file still admits one file per batch.
+    run_append_stream(orders_stream(spark, inbox, ORDERS, max_bytes_per_trigger=1), target, ckpt)
+    stored = read_target(spark, target, with_field(TARGET, "batch_id", T.LongType()))
+    assert stored.select("batch_id").distinct().count() == 6
+    assert _rows(rollup_totals(stored)) == _rows(aggregate_orders(rows))
