@@ -1,7 +1,6 @@
 from skewsafe.operators.aggregate import (
     aggregate_orders,
     aggregate_salted,
-    collect_order_list,
     order_list_pages,
     rollup_totals,
     with_null_order_id,
@@ -10,7 +9,7 @@ from skewsafe.operators.aggregate import (
 from skewsafe.operators.skew import detect_hot_keys, hot_key_list, key_distribution, skew_share
 
 __all__ = [
-    "aggregate_orders", "aggregate_salted", "collect_order_list", "order_list_pages",
+    "aggregate_orders", "aggregate_salted", "order_list_pages",
     "rollup_totals", "with_null_order_id", "with_run_timestamp",
     "detect_hot_keys", "hot_key_list", "key_distribution", "skew_share",
 ]

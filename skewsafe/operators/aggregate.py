@@ -116,22 +116,6 @@ def order_list_pages(
     )
 
 
-def collect_order_list(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, id_col: str = "order_id") -> DataFrame:
-    """The whole sorted id list of each group as one array (reference v1 shape).
-
-    Pages are sorted in parallel first, then concatenated in page order. The
-    final array is still as long as the group: use :func:`order_list_pages`
-    when a group may be large.
-    """
-    page = F.expr(f"`{id_col}` div 65536").alias("_page")
-    pages = df.groupBy(*keys, page).agg(F.sort_array(F.collect_list(id_col)).alias("_ids"))
-    return pages.groupBy(*keys).agg(
-        F.flatten(
-            F.transform(F.sort_array(F.collect_list(F.struct("_page", "_ids"))), lambda s: s["_ids"])
-        ).alias("order_list")
-    )
-
-
 def rollup_totals(df: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
     """Merge several rows per group (after appends) into one.
 
