@@ -101,19 +101,30 @@ def order_list_pages(
 ) -> DataFrame:
     """Sorted ``order_id`` list per group, in pages of ``page_span`` ids (A4).
 
-    ``list_page = order_id div page_span``. Concatenating a group's
-    ``order_list`` strings in ``list_page`` order gives the whole sorted
-    list, with repeats; no id is dropped. A page row holds at most
-    ``page_span`` distinct ids, so no row grows with a hot group, and the
-    pages of one group are built by different tasks.
-
-    Output: ``keys, list_page, order_count, order_list`` (comma-separated).
+    ``list_page = order_id div page_span``. ``order_list`` is the page's
+    sorted ids, comma-separated; an id that occurs ``n > 1`` times is written
+    once as ``<id>x<n>``. Concatenating a group's pages in ``list_page``
+    order and expanding the repeats gives the whole sorted list; no id is
+    dropped.
+
+    Repeats are counted first, so map-side partial aggregation collapses
+    copies of one id before any shuffle, and a page row holds at most
+    ``page_span`` entries however hot its group or id. The pages of one
+    group are built by different tasks.
+
+    Output: ``keys, list_page, order_count, order_list``.
     """
-    page = F.expr(f"`{id_col}` div {int(page_span)}")
-    return df.groupBy(*keys, page.alias("list_page")).agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.concat_ws(",", F.sort_array(F.collect_list(id_col)).cast("array<string>")).alias("order_list"),
+    page = F.expr(f"`{id_col}` div {int(page_span)}").alias("list_page")
+    per_id = df.groupBy(*keys, page, id_col).agg(F.count(F.lit(1)).alias("_n"))
+    pages = per_id.groupBy(*keys, "list_page").agg(
+        F.sum("_n").alias("order_count"),
+        F.sort_array(F.collect_list(F.struct(id_col, "_n"))).alias("_ids"),
     )
+    entry = lambda e: F.when(
+        e["_n"] > 1, F.concat(e[id_col].cast("string"), F.lit("x"), e["_n"].cast("string"))
+    ).otherwise(e[id_col].cast("string"))
+    return pages.select(*keys, "list_page", "order_count",
+                        F.array_join(F.transform("_ids", entry), ",").alias("order_list"))
 
 
 def rollup_totals(df: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:

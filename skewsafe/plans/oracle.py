@@ -63,10 +63,12 @@ ORACLE_SQL: dict[str, str] = {
     "orders_adapter": _with(T) + "SELECT * FROM t",
     "scan_filter_pushdown": _with(T) + f"SELECT * FROM t WHERE date >= '{SINCE_DAY}'",
     "agg_collect_list": _with(T)
-    + f"SELECT partition_key, customer_id, product, CAST(order_id // {PAGE_SPAN} AS BIGINT) AS list_page, "
-    "COUNT(*) AS order_count, array_to_string(list_sort(list(order_id)), ',') AS order_list "
-    "FROM t GROUP BY partition_key, customer_id, product, CAST(order_id // "
-    f"{PAGE_SPAN} AS BIGINT)",
+    + f"SELECT partition_key, customer_id, product, list_page, CAST(SUM(n) AS BIGINT) AS order_count, "
+    "string_agg(CASE WHEN n > 1 THEN CAST(order_id AS VARCHAR) || 'x' || CAST(n AS VARCHAR) "
+    "ELSE CAST(order_id AS VARCHAR) END, ',' ORDER BY order_id) AS order_list "
+    f"FROM (SELECT partition_key, customer_id, product, CAST(order_id // {PAGE_SPAN} AS BIGINT) AS list_page, "
+    "order_id, COUNT(*) AS n FROM t GROUP BY partition_key, customer_id, product, list_page, order_id) c "
+    "GROUP BY partition_key, customer_id, product, list_page",
     "agg_orders": AGG_V,
     "agg_salted_two_phase": f"WITH t0 AS ({CTE_T}), t AS (SELECT * FROM t0 WHERE date >= '{SINCE_DAY}'), "
     f"v AS ({CTE_V}) SELECT *, CAST(NULL AS BIGINT) AS order_id FROM v",

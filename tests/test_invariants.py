@@ -50,23 +50,41 @@ def test_rollup_of_batches_equals_one_shot(orders):
     assert _rows(rollup_totals(a.unionByName(b))) == _rows(aggregate_orders(orders))
 
 
+def _expand(text):
+    out = []
+    for entry in text.split(","):
+        oid, _, n = entry.partition("x")
+        out += [int(oid)] * (int(n) if n else 1)
+    return out
+
+
 def test_pages_concatenate_to_whole_list(orders):
+    keys = ["partition_key", "customer_id", "product"]
     pages = order_list_pages(orders, page_span=500)
+    glued = {}
+    for r in pages.orderBy(*keys, "list_page").collect():
+        ids = _expand(r["order_list"])
+        assert len(ids) == r["order_count"] and ids == sorted(ids)
+        assert all(i // 500 == r["list_page"] for i in ids)
+        glued.setdefault(tuple(r[k] for k in keys), []).extend(ids)
     # The whole list per group, built directly; fine on this small fixture only.
-    whole = orders.groupBy("partition_key", "customer_id", "product").agg(
-        F.sort_array(F.collect_list("order_id")).alias("order_list"))
-    glued = (
-        pages.groupBy("partition_key", "customer_id", "product")
-        .agg(F.sort_array(F.collect_list(F.struct("list_page", "order_list"))).alias("p"))
-        .select("partition_key", "customer_id", "product",
-                F.concat_ws(",", F.transform("p", lambda s: s["order_list"])).alias("ids"))
-    )
-    as_text = whole.select("partition_key", "customer_id", "product",
-                           F.concat_ws(",", F.col("order_list").cast("array<string>")).alias("ids"))
-    assert _rows(glued) == _rows(as_text)
+    whole = orders.groupBy(*keys).agg(F.sort_array(F.collect_list("order_id")).alias("ids")).collect()
+    assert {tuple(r[k] for k in keys): list(r["ids"]) for r in whole} == glued
     assert pages.agg(F.sum("order_count")).first()[0] == orders.count()
 
 
+def test_pages_stay_bounded_when_one_id_repeats(spark):
+    # One order id holds a third of all rows: its copies collapse to one entry.
+    rows = spark.range(30_000).selectExpr(
+        "'k' AS partition_key", "'c' AS customer_id", "'p' AS product",
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS order_id")
+    pages = order_list_pages(rows, page_span=100_000).collect()
+    assert len(pages) == 1 and pages[0]["order_count"] == 30_000
+    entries = pages[0]["order_list"].split(",")
+    assert entries[0] == "0x10000" and len(entries) == 1 + 20_000
+    assert len(_expand(pages[0]["order_list"])) == 30_000
+
+
 def test_generator_is_deterministic_and_skewed(spark, duck_small):
     first = skewed_orders(spark)
     assert _rows(first) == _rows(skewed_orders(spark, num_partitions=3))
