@@ -42,8 +42,16 @@ def detect_hot_keys(df: DataFrame, key: str = "partition_key", min_share: float
     )
 
 
-def hot_key_list(df: DataFrame, key: str = "partition_key", min_share: float = 0.05) -> list:
-    """Hot keys as a Python list; bounded by ``1 / min_share`` entries."""
+def hot_key_list(df: DataFrame, key: str = "partition_key", min_share: float = 0.05,
+                 sample_fraction: float | None = None, seed: int = 17) -> list:
+    """Hot keys as a Python list; bounded by ``1 / min_share`` entries.
+
+    ``sample_fraction`` estimates the shares from a seeded sample of ``df``.
+    That is enough to choose keys to salt (the salted aggregate is exact for
+    any choice); a key with a third of the rows is found from a small sample.
+    """
+    if sample_fraction is not None:
+        df = df.sample(fraction=sample_fraction, seed=seed)
     bound = int(1 / min_share)
     rows = detect_hot_keys(df, key, min_share).orderBy(F.desc("record_count")).limit(bound + 1).collect()
     assert len(rows) <= bound, "hot-key bound violated"

@@ -89,17 +89,19 @@ def pipeline_v3(
     salt_buckets: int = 10,
     run_ts: _dt.datetime | None = None,
     batch_id: int = 0,
+    detect_sample: float | None = None,
 ) -> JobResult:
     """Filtered scan, salted two-phase aggregate, clustered day partitions.
 
     ``hot_keys=None`` detects keys holding ``min_share`` of the rows (a
-    bounded list). The table is written as batch ``batch_id`` so later
-    appends (:func:`incremental_append`) are replay-safe.
+    bounded list), from a ``detect_sample`` fraction of them when given.
+    The table is written as batch ``batch_id`` so later appends
+    (:func:`incremental_append`) are replay-safe.
     """
     spark = rows.sparkSession
     if since is not None:
         rows = filter_since(rows, since)
-    hot = hot_keys if hot_keys is not None else hot_key_list(rows, "partition_key", min_share)
+    hot = hot_keys if hot_keys is not None else hot_key_list(rows, "partition_key", min_share, detect_sample)
     result = with_run_timestamp(with_null_order_id(aggregate_salted(rows, hot, salt_buckets)), run_ts)
 
     def write():

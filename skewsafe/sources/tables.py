@@ -52,6 +52,8 @@ def orders_from_tpch(
     until: str | None = None,
     hot_mod: int = 10,
     hot_below: int = 8,
+    sample_fraction: float | None = None,
+    seed: int = 17,
 ) -> DataFrame:
     """Order rows (``ORDERS`` schema) from ``lineitem`` joined to ``orders``.
 
@@ -69,8 +71,15 @@ def orders_from_tpch(
     key is hot there). Spark picks a broadcast only when its size estimate
     is under ``autoBroadcastJoinThreshold``; otherwise sort-merge, with AQE
     free to switch once it has measured the sides.
+
+    ``sample_fraction`` keeps a seeded Bernoulli sample of the line items
+    before the join (each line item joins one order, so it is a sample of
+    the output rows too). It is for estimates such as hot-key detection,
+    never for results.
     """
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_extendedprice"])
+    if sample_fraction is not None:
+        li = li.sample(fraction=sample_fraction, seed=seed)
     od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     if since is not None:
         od = od.where(F.col("o_orderdate") >= _day_start(since))

@@ -55,3 +55,13 @@ def test_day_partition_filter_prunes(spark, scratch):
     write_day_partitioned(v.withColumn("processed_timestamp", F.current_timestamp()), scratch)
     back = read_target(spark, scratch, TARGET).where("date = '2000-06-01'")
     assert "PartitionFilters: [isnotnull(date" in plan_text(back)
+
+
+def test_detection_sample_is_taken_before_the_join(spark):
+    from skewsafe.operators.skew import hot_key_list
+
+    sample = orders_from_tpch(spark, SF_SMALL, sample_fraction=0.05)
+    text = plan_text(sample, "simple")
+    join_at = text.index("Join")
+    assert text.index("Sample", join_at) > join_at  # Sample sits below the join, over the lineitem scan
+    assert hot_key_list(sample, "partition_key", 0.05) == ["SKEWED_KEY"]
