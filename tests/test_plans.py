@@ -65,3 +65,28 @@ def test_detection_sample_is_taken_before_the_join(spark):
     join_at = text.index("Join")
     assert text.index("Sample", join_at) > join_at  # Sample sits below the join, over the lineitem scan
     assert hot_key_list(sample, "partition_key", 0.05) == ["SKEWED_KEY"]
+
+
+def test_hot_join_key_is_split_by_aqe(spark, scratch):
+    """A third of the line items on one order key: AQE splits that key's sort-merge join partition."""
+    from skewsafe.session import conf_override
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    hot = li.agg(F.min("l_orderkey")).first()[0]
+    li.withColumn("l_orderkey", F.when(F.pmod(F.xxhash64("l_partkey", "l_linenumber"), F.lit(3)) == 0, F.lit(hot))
+                  .otherwise(F.col("l_orderkey"))).repartition(4).write.parquet(f"{scratch}/lineitem.parquet")
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").write.parquet(f"{scratch}/orders.parquet")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    with conf_override(spark, settings):
+        rows = orders_from_tpch(spark, scratch)
+        v = aggregate_orders(rows)
+        total = sum(r["order_count"] for r in v.collect())
+        final = v._jdf.queryExecution().executedPlan().toString()
+    assert total == li.count()
+    assert "SortMergeJoin(skew=true)" in final
