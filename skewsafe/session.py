@@ -23,6 +23,13 @@ RUNTIME_CONF: dict[str, str] = {
     # REBALANCE before writes splits oversized partitions at run time.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Arrow batches for the (bounded) results handed to pandas.
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+# Settings that only take effect when the JVM starts (builder or spark-submit).
+LAUNCH_CONF: dict[str, str] = {
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
@@ -84,7 +91,7 @@ def build_session(
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
+    for key, value in {**LAUNCH_CONF, **RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     return configure_session(spark, shuffle_partitions)
@@ -136,4 +143,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["RUNTIME_CONF", "configure_session", "build_session", "sizing_conf", "shared_dir", "conf_override", "is_local_path", "local_path"]
+__all__ = ["RUNTIME_CONF", "LAUNCH_CONF", "configure_session", "build_session", "sizing_conf", "shared_dir", "conf_override", "is_local_path", "local_path"]
