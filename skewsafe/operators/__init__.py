@@ -3,6 +3,7 @@ from skewsafe.operators.aggregate import (
     aggregate_salted,
     order_list_pages,
     rollup_totals,
+    totals_from_pages,
     with_null_order_id,
     with_run_timestamp,
 )
@@ -10,6 +11,6 @@ from skewsafe.operators.skew import detect_hot_keys, hot_key_list, key_distribut
 
 __all__ = [
     "aggregate_orders", "aggregate_salted", "order_list_pages",
-    "rollup_totals", "with_null_order_id", "with_run_timestamp",
+    "rollup_totals", "totals_from_pages", "with_null_order_id", "with_run_timestamp",
     "detect_hot_keys", "hot_key_list", "key_distribution", "skew_share",
 ]

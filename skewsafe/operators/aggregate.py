@@ -98,6 +98,7 @@ def order_list_pages(
     page_span: int = 10_000,
     keys: Sequence[str] = GROUP_KEYS,
     id_col: str = "order_id",
+    with_sums: bool = False,
 ) -> DataFrame:
     """Sorted ``order_id`` list per group, in pages of ``page_span`` ids (A4).
 
@@ -112,19 +113,41 @@ def order_list_pages(
     ``page_span`` entries however hot its group or id. The pages of one
     group are built by different tasks.
 
-    Output: ``keys, list_page, order_count, order_list``.
+    Output: ``keys, list_page, order_count, order_list``; ``with_sums=True``
+    adds ``page_amount`` (sum of ``amount``) and ``page_day`` (first day),
+    from which :func:`totals_from_pages` rebuilds the group totals.
     """
     page = F.expr(f"`{id_col}` div {int(page_span)}").alias("list_page")
-    per_id = df.groupBy(*keys, page, id_col).agg(F.count(F.lit(1)).alias("_n"))
-    pages = per_id.groupBy(*keys, "list_page").agg(
-        F.sum("_n").alias("order_count"),
-        F.sort_array(F.collect_list(F.struct(id_col, "_n"))).alias("_ids"),
-    )
+    id_aggs = [F.count(F.lit(1)).alias("_n")]
+    page_aggs = [F.sum("_n").alias("order_count"),
+                 F.sort_array(F.collect_list(F.struct(id_col, "_n"))).alias("_ids")]
+    extra = []
+    if with_sums:
+        id_aggs += [F.sum("amount").alias("_sum"), F.min(as_date("date")).alias("_day")]
+        page_aggs += [F.sum("_sum").alias("page_amount"), F.min("_day").alias("page_day")]
+        extra = ["page_amount", "page_day"]
+    per_id = df.groupBy(*keys, page, id_col).agg(*id_aggs)
+    pages = per_id.groupBy(*keys, "list_page").agg(*page_aggs)
     entry = lambda e: F.when(
         e["_n"] > 1, F.concat(e[id_col].cast("string"), F.lit("x"), e["_n"].cast("string"))
     ).otherwise(e[id_col].cast("string"))
     return pages.select(*keys, "list_page", "order_count",
-                        F.array_join(F.transform("_ids", entry), ",").alias("order_list"))
+                        F.array_join(F.transform("_ids", entry), ",").alias("order_list"), *extra)
+
+
+def totals_from_pages(pages: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
+    """Group totals from ``order_list_pages(..., with_sums=True)`` output.
+
+    Same rows as :func:`aggregate_orders` on the original rows (sums are
+    re-added and rounded to cents). Reads only the key and sum columns, so
+    a stored page table is scanned without its id lists.
+    """
+    agg = pages.groupBy(*keys).agg(
+        money(F.sum("page_amount")).alias("total_amount"),
+        F.sum("order_count").alias("order_count"),
+        F.min("page_day").alias("_day"),
+    )
+    return _finish(agg, keys)
 
 
 def rollup_totals(df: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:

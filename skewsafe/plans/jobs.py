@@ -18,6 +18,7 @@ from skewsafe.operators.aggregate import (
     aggregate_orders,
     aggregate_salted,
     order_list_pages,
+    totals_from_pages,
     with_null_order_id,
     with_run_timestamp,
 )
@@ -56,18 +57,21 @@ def _timed(name: str, path: str, spark: SparkSession, schema: T.StructType, writ
 
 def pipeline_v1(rows: DataFrame, path: str, page_span: int = 10_000,
                 run_ts: _dt.datetime | None = None) -> JobResult:
-    """Totals plus the sorted order-id lists, written side by side.
-
-    The reference builds one unbounded list per group and caches it; here
-    the totals and the id lists are two plain writes (``totals/``, and
-    ``order_lists/`` in bounded pages), with no cache.
+    """Totals plus the sorted order-id lists, from one pass over ``rows``.
+
+    The reference builds one unbounded list per group and caches it for two
+    writes. Here the id lists are written once in bounded pages that also
+    carry per-page sums (``order_lists/``); the totals (``totals/``) are
+    then re-added from that stored table, reading only its key and sum
+    columns. The input is scanned (and joined) once, and the stored pages,
+    not a cache, survive a lost executor.
     """
     spark = rows.sparkSession
-    totals = with_run_timestamp(aggregate_orders(rows), run_ts)
 
     def write():
-        write_table(totals, f"{path}/totals")
-        write_table(order_list_pages(rows, page_span), f"{path}/order_lists")
+        write_table(order_list_pages(rows, page_span, with_sums=True), f"{path}/order_lists")
+        pages = spark.read.parquet(f"{path}/order_lists")
+        write_table(with_run_timestamp(totals_from_pages(pages), run_ts), f"{path}/totals")
 
     return _timed("v1", f"{path}/totals", spark, T.StructType(TARGET.fields), write)
 

@@ -110,3 +110,12 @@ def test_generator_matches_duckdb_twin(spark, duck_small):
     cols = [d[0] for d in res.description]
     df = skewed_orders(spark)
     assert digest(res.fetchall(), cols) == _rows(df)
+
+
+def test_totals_from_pages_equal_plain(orders):
+    from skewsafe.operators.aggregate import totals_from_pages
+
+    pages = order_list_pages(orders, page_span=500, with_sums=True)
+    assert _rows(totals_from_pages(pages)) == _rows(aggregate_orders(orders))
+    plain = order_list_pages(orders, page_span=500)
+    assert _rows(pages.select(*plain.columns)) == _rows(plain)

@@ -90,3 +90,11 @@ def test_hot_join_key_is_split_by_aqe(spark, scratch):
         final = v._jdf.queryExecution().executedPlan().toString()
     assert total == li.count()
     assert "SortMergeJoin(skew=true)" in final
+
+
+def test_totals_from_stored_pages_skip_the_id_lists(spark, scratch):
+    from skewsafe.operators.aggregate import order_list_pages, totals_from_pages
+
+    order_list_pages(orders_from_tpch(spark, SF_SMALL), with_sums=True).write.parquet(scratch)
+    schemas = " ".join(read_schemas(totals_from_pages(spark.read.parquet(scratch))))
+    assert "page_amount" in schemas and "order_list" not in schemas
