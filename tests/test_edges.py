@@ -122,3 +122,15 @@ def test_sizing_conf_scales_with_shuffle_volume():
     assert small["spark.sql.shuffle.partitions"] == "24"  # three waves at least
     big = sizing_conf(18 * 1024**4, total_cores=8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 18 * 1024**4 // (200 * 1024**2) + 1
+
+
+def test_listing_parallelism_follows_cores_unless_set(spark):
+    from skewsafe.session import LISTING_PARALLELISM, configure_session
+
+    assert spark.conf.get(LISTING_PARALLELISM) == str(spark.sparkContext.defaultParallelism)
+    spark.conf.set(LISTING_PARALLELISM, "123")
+    try:
+        configure_session(spark)
+        assert spark.conf.get(LISTING_PARALLELISM) == "123"
+    finally:
+        spark.conf.set(LISTING_PARALLELISM, str(spark.sparkContext.defaultParallelism))
