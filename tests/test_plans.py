@@ -1,5 +1,6 @@
 """Plan assertions: pushdown, pruning, aggregate strategy, top-k, no single-partition window."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from skewsafe.operators import reports
@@ -67,8 +68,14 @@ def test_detection_sample_is_taken_before_the_join(spark):
     assert hot_key_list(sample, "partition_key", 0.05) == ["SKEWED_KEY"]
 
 
-def test_hot_join_key_is_split_by_aqe(spark, scratch):
-    """A third of the line items on one order key: AQE splits that key's sort-merge join partition."""
+@pytest.mark.parametrize("op", ["aggregate_orders", "order_list_pages"])
+def test_hot_join_key_is_split_by_aqe(spark, scratch, op):
+    """A third of the line items on one order key: AQE splits that key's sort-merge join partition.
+
+    The pages group by the join key, so the split costs an extra shuffle;
+    the session's ``forceOptimizeSkewedJoin`` makes AQE take it.
+    """
+    from skewsafe.operators import aggregate
     from skewsafe.session import conf_override
 
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
@@ -85,7 +92,7 @@ def test_hot_join_key_is_split_by_aqe(spark, scratch):
     }
     with conf_override(spark, settings):
         rows = orders_from_tpch(spark, scratch)
-        v = aggregate_orders(rows)
+        v = getattr(aggregate, op)(rows)
         total = sum(r["order_count"] for r in v.collect())
         final = v._jdf.queryExecution().executedPlan().toString()
     assert total == li.count()
