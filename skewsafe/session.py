@@ -51,13 +51,20 @@ def configure_session(spark: SparkSession, shuffle_partitions: int | None = None
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    if spark.conf.get(LISTING_PARALLELISM, None) is None:
-        spark.conf.set(LISTING_PARALLELISM, str(max(1, spark.sparkContext.defaultParallelism)))
+    for key, value in listing_conf(spark).items():
+        spark.conf.set(key, value)
     if shuffle_partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
 
 
+def listing_conf(spark: SparkSession) -> dict[str, str]:
+    """Folder-listing parallelism of one wave over the cores, unless already set."""
+    if spark.conf.get(LISTING_PARALLELISM, None) is not None:
+        return {}
+    return {LISTING_PARALLELISM: str(max(1, spark.sparkContext.defaultParallelism))}
+
+
 def sizing_conf(
     shuffle_bytes: int,
     total_cores: int,
@@ -147,4 +154,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["RUNTIME_CONF", "LAUNCH_CONF", "configure_session", "build_session", "sizing_conf", "shared_dir", "conf_override", "is_local_path", "local_path"]
+__all__ = ["RUNTIME_CONF", "LAUNCH_CONF", "configure_session", "build_session", "listing_conf", "sizing_conf", "shared_dir", "conf_override", "is_local_path", "local_path"]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skewsafe.schemas import DECLARED_TARGET, ddl
-from skewsafe.session import conf_override
+from skewsafe.session import conf_override, listing_conf
 
 # A directory-partitioned write produces at least one file per partition
 # value whatever the task count, so merging small shuffle partitions saves
@@ -148,8 +148,14 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
 
 
 def read_target(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Read a written table with its schema, so partition columns keep their types."""
-    return spark.read.format(fmt).schema(schema).load(path)
+    """Read a written table with its schema, so partition columns keep their types.
+
+    Partition folders are listed when the read is resolved, here; unless the
+    session sets it, that listing runs as one wave over the cores rather
+    than one task per folder.
+    """
+    with conf_override(spark, listing_conf(spark)):
+        return spark.read.format(fmt).schema(schema).load(path)
 
 
 def verify_count(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> int:
