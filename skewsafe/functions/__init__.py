@@ -1,8 +1,10 @@
 from skewsafe.functions.columns import (
     as_date,
+    cents,
     day_string,
     distinct_count,
     exact_avg,
+    from_cents,
     money,
     money_sum,
     null_flag,
@@ -13,6 +15,6 @@ from skewsafe.functions.columns import (
 )
 
 __all__ = [
-    "as_date", "day_string", "distinct_count", "exact_avg", "money", "money_sum", "null_flag",
+    "as_date", "cents", "day_string", "distinct_count", "exact_avg", "from_cents", "money", "money_sum", "null_flag",
     "percent", "ratio", "run_timestamp", "salt",
 ]

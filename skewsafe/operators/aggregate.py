@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewsafe.functions.columns import as_date, money, money_sum, ratio, run_timestamp, salt
+from skewsafe.functions.columns import as_date, cents, from_cents, money_sum, ratio, run_timestamp, salt
 from skewsafe.schemas import GROUP_KEYS
 
 
@@ -33,7 +33,7 @@ def aggregate_orders(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, by_date: b
     """Totals per group.
 
     Output: ``keys, total_amount, order_count, date, avg_amount``.
-    ``total_amount`` is rounded to cents, ``order_count`` counts rows
+    ``total_amount`` is exact to the cent, ``order_count`` counts rows
     (NULL amounts included), ``date`` is the group's first day.
     ``by_date=True`` adds ``date`` to the grouping keys.
     """
@@ -81,12 +81,12 @@ def aggregate_salted(
     """
     salted = df.withColumn("_salt", salt(salt_key, hot_keys, salt_buckets, list(spread)))
     phase1 = salted.groupBy(*keys, "_salt").agg(
-        F.sum("amount").alias("_sum"),
+        F.sum(cents("amount")).alias("_cents"),
         F.count(F.lit(1)).alias("_cnt"),
         F.min(as_date("date")).alias("_day"),
     )
     phase2 = phase1.groupBy(*keys).agg(
-        money(F.sum("_sum")).alias("total_amount"),
+        from_cents(F.sum("_cents")).alias("total_amount"),
         F.sum("_cnt").alias("order_count"),
         F.min("_day").alias("_day"),
     )
@@ -114,7 +114,7 @@ def order_list_pages(
     group are built by different tasks.
 
     Output: ``keys, list_page, order_count, order_list``; ``with_sums=True``
-    adds ``page_amount`` (sum of ``amount``) and ``page_day`` (first day),
+    adds ``page_cents`` (sum of ``amount`` in whole cents) and ``page_day`` (first day),
     from which :func:`totals_from_pages` rebuilds the group totals.
     """
     page = F.expr(f"`{id_col}` div {int(page_span)}").alias("list_page")
@@ -123,9 +123,9 @@ def order_list_pages(
                  F.sort_array(F.collect_list(F.struct(id_col, "_n"))).alias("_ids")]
     extra = []
     if with_sums:
-        id_aggs += [F.sum("amount").alias("_sum"), F.min(as_date("date")).alias("_day")]
-        page_aggs += [F.sum("_sum").alias("page_amount"), F.min("_day").alias("page_day")]
-        extra = ["page_amount", "page_day"]
+        id_aggs += [F.sum(cents("amount")).alias("_cents"), F.min(as_date("date")).alias("_day")]
+        page_aggs += [F.sum("_cents").alias("page_cents"), F.min("_day").alias("page_day")]
+        extra = ["page_cents", "page_day"]
     per_id = df.groupBy(*keys, page, id_col).agg(*id_aggs)
     pages = per_id.groupBy(*keys, "list_page").agg(*page_aggs)
     entry = lambda e: F.when(
@@ -139,11 +139,11 @@ def totals_from_pages(pages: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> Dat
     """Group totals from ``order_list_pages(..., with_sums=True)`` output.
 
     Same rows as :func:`aggregate_orders` on the original rows (sums are
-    re-added and rounded to cents). Reads only the key and sum columns, so
+    re-added exactly, in cents). Reads only the key and sum columns, so
     a stored page table is scanned without its id lists.
     """
     agg = pages.groupBy(*keys).agg(
-        money(F.sum("page_amount")).alias("total_amount"),
+        from_cents(F.sum("page_cents")).alias("total_amount"),
         F.sum("order_count").alias("order_count"),
         F.min("page_day").alias("_day"),
     )
@@ -157,7 +157,7 @@ def rollup_totals(df: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
     averaged; ``date`` is the earliest.
     """
     agg = df.groupBy(*keys).agg(
-        money(F.sum("total_amount")).alias("total_amount"),
+        money_sum("total_amount").alias("total_amount"),
         F.sum("order_count").alias("order_count"),
         F.min(as_date("date")).alias("_day"),
     )
