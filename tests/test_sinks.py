@@ -108,3 +108,18 @@ def test_bucketed_table_reads_without_shuffle(spark, v):
     plan = agg._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     assert t.count() == v.count()
+
+
+def test_hot_day_is_written_by_several_tasks(spark, scratch):
+    """A third of the rows on one day: the rebalance before the write splits that day."""
+    from skewsafe.session import conf_override
+
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN '2024-01-15' ELSE date_format(date_add(DATE'2024-02-01', CAST(id % 50 AS INT)), 'yyyy-MM-dd') END AS date",
+        "id AS order_id", "CAST(id % 1000 AS DOUBLE) AS amount")
+    with conf_override(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}):
+        write_day_partitioned(rows, scratch)
+    hot = [f for f in os.listdir(local_path(scratch) + "/date=2024-01-15") if f.endswith(".parquet")]
+    assert len(hot) > 1
+    back = spark.read.parquet(scratch)
+    assert back.count() == 60_000 and back.where("date = '2024-01-15'").count() == 20_000
