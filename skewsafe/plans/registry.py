@@ -45,6 +45,10 @@ HOT_SHARE = 0.05
 DETECT_SAMPLE = 0.01
 SALT_BUCKETS = 10
 STREAM_BATCHES = 4
+# At most this many inbox files per micro-batch: one file per join task,
+# about 200 MB each at scale, so a batch stays near 200 GB however large
+# the backlog (more batches instead).
+STREAM_MAX_FILES = 1000
 
 
 def _v(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +188,7 @@ def stream_append_rollup(spark, sf_dir):
     # The inbox keeps the join's own partitioning: one file per task, so the
     # files (and the stream's batches) grow with the input, not a fixed count.
     orders_from_tpch(spark, sf_dir).write.mode("overwrite").parquet(inbox)
-    per_trigger = files_per_trigger(spark, inbox, STREAM_BATCHES)
+    per_trigger = files_per_trigger(spark, inbox, STREAM_BATCHES, max_files=STREAM_MAX_FILES)
     run_append_stream(orders_stream(spark, inbox, ORDERS, max_files_per_trigger=per_trigger), target, checkpoint)
     stored = read_target(spark, target, with_field(TARGET, "batch_id", T.LongType()))
     return rollup_totals(stored)

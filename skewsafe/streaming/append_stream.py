@@ -43,13 +43,17 @@ def orders_stream(spark: SparkSession, path: str, schema: T.StructType = ORDERS,
     return reader.load(path)
 
 
-def files_per_trigger(spark: SparkSession, path: str, batches: int, fmt: str = "parquet") -> int:
+def files_per_trigger(spark: SparkSession, path: str, batches: int, fmt: str = "parquet",
+                      max_files: int | None = None) -> int:
     """Files per micro-batch so the files now in ``path`` make about ``batches`` batches.
 
-    Uses the file listing only (no data is read).
+    ``max_files`` caps a batch (then there are more batches), so a large
+    backlog is never taken in one huge micro-batch. Uses the file listing
+    only (no data is read).
     """
     files = len(spark.read.format(fmt).load(path).inputFiles())
-    return max(1, -(-files // max(1, batches)))
+    per = max(1, -(-files // max(1, batches)))
+    return min(per, max_files) if max_files else per
 
 
 def append_stream(

@@ -39,6 +39,7 @@ def test_batches_sized_by_files_or_bytes(spark, scratch):
     rows.repartition(6).write.parquet(inbox)
     assert files_per_trigger(spark, inbox, 3) == 2
     assert files_per_trigger(spark, inbox, 100) == 1
+    assert files_per_trigger(spark, inbox, 1, max_files=4) == 4
     # A byte budget smaller than one file still admits one file per batch.
     run_append_stream(orders_stream(spark, inbox, ORDERS, max_bytes_per_trigger=1), target, ckpt)
     stored = read_target(spark, target, with_field(TARGET, "batch_id", T.LongType()))
