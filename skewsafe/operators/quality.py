@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from skewsafe.functions.columns import as_date, distinct_count, exact_avg, null_flag
 from skewsafe.operators.skew import skew_share
 
+# The labels of the two anomaly checks.
+NEGATIVE_AMOUNTS = "Negative amounts"
+FUTURE_DATES = "Future dates"
+
 
 def table_summary(v: DataFrame, approx: bool = False) -> DataFrame:
     """Rows, distinct keys, mean group total (J6a). One row, also when empty."""
@@ -57,5 +61,5 @@ def anomalies(v: DataFrame, as_of: str | _dt.date | None = None) -> DataFrame:
         F.count_if(as_date("date") > limit).alias("future"),
     )
     return counts.select(
-        F.expr("stack(2, 'Negative amounts', negative, 'Future dates', future) AS (check_type, anomaly_count)")
+        F.expr(f"stack(2, '{NEGATIVE_AMOUNTS}', negative, '{FUTURE_DATES}', future) AS (check_type, anomaly_count)")
     )

@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 
 from skewsafe.sources.tables import CUSTOMER_PREFIX, HOT_KEY, NORMAL_KEY_PREFIX, PRODUCT_PREFIX
 
+# Fixed values of the two batches (they must equal the original's domains).
+# Main batch: 100 normal keys, order ids 100..1000, day 2024-01-15.
+# Later batch: keys batch2_key_1..10, order ids 2000..3000, day 2024-01-16.
+MAIN_KEYS, MAIN_ORDER_IDS, MAIN_DAY = 100, (100, 1000), "2024-01-15"
+BATCH2_KEY_PREFIX, BATCH2_KEYS, BATCH2_ORDER_IDS, BATCH2_DAY = "batch2_key_", 10, (2000, 3000), "2024-01-16"
+
 
 def _draw(k: int) -> Column:
     """Uniform non-negative integer below 2**32 for column ``k`` of row ``id``."""
@@ -54,10 +60,10 @@ def generate_orders(
 def skewed_orders(spark: SparkSession, rows: int = 10_000, hot_share: float = 0.8, **kw) -> DataFrame:
     """Main batch: ``hot_share`` of rows on the hot key, others on 100 keys."""
     return generate_orders(
-        spark, rows, int(round(rows * hot_share)), NORMAL_KEY_PREFIX, 100, 100, 1000, "2024-01-15", **kw
+        spark, rows, int(round(rows * hot_share)), NORMAL_KEY_PREFIX, MAIN_KEYS, *MAIN_ORDER_IDS, MAIN_DAY, **kw
     )
 
 
 def second_batch(spark: SparkSession, rows: int = 1_000, **kw) -> DataFrame:
     """Later batch: 10 ``batch2_key_*`` keys, next day (S3)."""
-    return generate_orders(spark, rows, 0, "batch2_key_", 10, 2000, 3000, "2024-01-16", **kw)
+    return generate_orders(spark, rows, 0, BATCH2_KEY_PREFIX, BATCH2_KEYS, *BATCH2_ORDER_IDS, BATCH2_DAY, **kw)
