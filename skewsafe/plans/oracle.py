@@ -76,6 +76,8 @@ ORACLE_SQL: dict[str, str] = {
     "SELECT * FROM a UNION ALL SELECT * FROM b",
     "append_by_name": f"WITH a AS ({_v_between(None, SPLIT_DAY)}), b AS ({_v_between(SPLIT_DAY, None)}) "
     "SELECT *, CAST(NULL AS BIGINT) AS order_id FROM a UNION ALL SELECT *, CAST(NULL AS BIGINT) AS order_id FROM b",
+    "catalog_append_by_name": f"WITH a AS ({_v_between(None, SPLIT_DAY)}), b AS ({_v_between(SPLIT_DAY, None)}) "
+    "SELECT *, CAST(NULL AS BIGINT) AS order_id FROM a UNION ALL SELECT *, CAST(NULL AS BIGINT) AS order_id FROM b",
     "append_rollup": AGG_V,
     "partition_distribution": _with(T, V)
     + "SELECT partition_key, COUNT(*) AS record_count FROM v GROUP BY partition_key "

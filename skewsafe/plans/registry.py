@@ -28,6 +28,8 @@ from skewsafe.schemas import GROUP_KEYS, ORDERS, TARGET, TARGET_V3, with_field
 from skewsafe.session import shared_dir
 from skewsafe.sinks.writers import (
     append_by_name,
+    create_target_tables,
+    insert_by_name,
     read_target,
     staged_publish,
     write_batch,
@@ -45,6 +47,7 @@ HOT_SHARE = 0.05
 DETECT_SAMPLE = 0.01
 SALT_BUCKETS = 10
 STREAM_BATCHES = 4
+CATALOG_DB = "skewsafe_queries"
 # At most this many inbox files per micro-batch: one file per join task,
 # about 200 MB each at scale, so a batch stays near 200 GB however large
 # the backlog (more batches instead).
@@ -106,6 +109,23 @@ def append_by_name_query(spark, sf_dir):
     return read_target(spark, path, TARGET_V3).select(*AGG_COLUMNS, "order_id")
 
 
+def catalog_append_by_name(spark, sf_dir):
+    """The v3 table and a later batch as a catalog table.
+
+    An external day-partitioned table under the shared folder (a default
+    warehouse folder may be machine-local); the later batch, which has no
+    ``order_id``, is inserted by name. Read back through the catalog.
+    """
+    base = shared_dir(spark, "queries", "catalog")
+    name = "v3_" + base.rstrip("/").rsplit("/", 1)[-1][:16]
+    [table] = create_target_tables(spark, CATALOG_DB, [name], TARGET_V3, partition_by=("date",), location=base)
+    a = with_null_order_id(aggregate_orders(orders_from_tpch(spark, sf_dir, until=SPLIT_DAY)))
+    b = aggregate_orders(orders_from_tpch(spark, sf_dir, since=SPLIT_DAY))
+    insert_by_name(spark, with_run_timestamp(a, RUN_TS), table, ("date",))
+    insert_by_name(spark, with_run_timestamp(b, RUN_TS), table, ("date",))
+    return spark.table(table).select(*AGG_COLUMNS, "order_id")
+
+
 def append_rollup(spark, sf_dir):
     path = shared_dir(spark, "queries", "append_rollup")
     _two_batches(spark, sf_dir, path, first_v3=False)
@@ -202,6 +222,7 @@ QUERIES: dict[str, Query] = {
     "agg_salted_two_phase": agg_salted_two_phase,
     "incremental_append": incremental_append,
     "append_by_name": append_by_name_query,
+    "catalog_append_by_name": catalog_append_by_name,
     "append_rollup": append_rollup,
     "partition_distribution": partition_distribution,
     "top_partitions": top_partitions,

@@ -126,12 +126,20 @@ def append_by_name(df: DataFrame, path: str, schema: T.StructType, partition_by:
     write_partitioned(align_to_schema(df, schema), path, partition_by, (), fmt, mode="append")
 
 
-def insert_by_name(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Catalog append by column name; missing nullable columns are filled with NULL."""
+def insert_by_name(spark: SparkSession, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    """Catalog append by column name; missing nullable columns are filled with NULL.
+
+    ``partition_by`` names the table's partition columns: rows are laid out
+    as for :func:`write_partitioned` (``REBALANCE`` on them, no coalescing),
+    so each partition gets few, right-sized files and a hot one is split.
+    """
+    parts = list(partition_by)
+    laid = df.hint("rebalance", *parts).sortWithinPartitions(*parts) if parts else df.hint("rebalance")
     view = f"_skewsafe_insert_{abs(hash(table))}"
-    df.createOrReplaceTempView(view)
+    laid.createOrReplaceTempView(view)
     try:
-        spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
+        with conf_override(spark, _NO_COALESCE if parts else {}):
+            spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
@@ -190,18 +198,31 @@ def staged_publish(
     return rows
 
 
-def ensure_namespace(spark: SparkSession, name: str) -> None:
-    """Create the database if missing."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the database if missing (S11), optionally at ``location``."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
 
 
 def create_target_tables(spark: SparkSession, database: str, names: Sequence[str],
-                         schema: T.StructType = DECLARED_TARGET, fmt: str = "parquet") -> list[str]:
-    """``CREATE TABLE IF NOT EXISTS`` for each name from one schema."""
-    ensure_namespace(spark, database)
+                         schema: T.StructType = DECLARED_TARGET, fmt: str = "parquet",
+                         partition_by: Sequence[str] = (), location: str | None = None) -> list[str]:
+    """``CREATE TABLE IF NOT EXISTS`` for each name from one schema.
+
+    ``partition_by`` columns are moved to the end of the column list, as
+    the table stores them. With ``location`` each table lives in
+    ``location/<name>`` (an external table on shared storage) instead of the
+    session's warehouse folder.
+    """
+    ensure_namespace(spark, database, f"{location}/_db" if location else None)
+    parts = list(partition_by)
+    ordered = T.StructType([f for f in schema.fields if f.name not in parts] + [schema[p] for p in parts])
     created = []
     for name in names:
         full = f"`{database}`.`{name}`"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({ddl(schema)}) USING {fmt}")
+        clauses = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+        if location:
+            clauses += f" LOCATION '{location}/{name}'"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({ddl(ordered)}) USING {fmt}{clauses}")
         created.append(f"{database}.{name}")
     return created

@@ -19,7 +19,7 @@ from skewsafe.session import build_session
 NODES = ["Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "HashAggregate",
          "ObjectHashAggregate", "SortAggregate", "Expand", "TakeOrderedAndProject", "Window", "Sample"]
 WRITES = {"incremental_append", "append_by_name", "append_rollup", "write_partitioned_roundtrip",
-          "write_clustered_roundtrip", "staged_publish", "stream_append_rollup"}
+          "write_clustered_roundtrip", "staged_publish", "stream_append_rollup", "catalog_append_by_name"}
 
 
 def main() -> None:
