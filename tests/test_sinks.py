@@ -123,3 +123,17 @@ def test_hot_day_is_written_by_several_tasks(spark, scratch):
     assert len(hot) > 1
     back = spark.read.parquet(scratch)
     assert back.count() == 60_000 and back.where("date = '2024-01-15'").count() == 20_000
+
+
+def test_partitioned_external_table_insert_layout(spark, scratch, v):
+    from skewsafe.schemas import TARGET_V3
+
+    [table] = create_target_tables(spark, "skewsafe_test_ext", ["v3"], TARGET_V3, partition_by=("date",),
+                                   location=scratch)
+    assert spark.table(table).columns[-1] == "date"
+    insert_by_name(spark, v.repartition(5), table, ("date",))  # five input tasks, two days
+    got = spark.table(table)
+    assert got.count() == 6982 and got.where("order_id IS NOT NULL").count() == 0
+    for day in ("2024-01-15", "2024-01-16"):
+        files = [f for f in os.listdir(f"{local_path(scratch)}/v3/date={day}") if f.endswith(".parquet")]
+        assert len(files) == 1  # laid out by day before the insert, not one file per input task
