@@ -11,6 +11,7 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skewsafe.operators import quality, reports
@@ -31,12 +32,13 @@ from skewsafe.sinks.writers import (
     create_target_tables,
     insert_by_name,
     read_target,
+    stage_rows,
     staged_publish,
     write_batch,
     write_clustered,
     write_day_partitioned,
 )
-from skewsafe.sources.tables import orders_from_tpch, plant_faults, preview
+from skewsafe.sources.tables import orders_from_tpch, plant_faults, preview, read_staged_batch
 from skewsafe.streaming.append_stream import files_per_trigger, orders_stream, run_append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,10 +86,20 @@ def agg_salted_two_phase(spark, sf_dir):
     return with_null_order_id(aggregate_salted(rows, hot, SALT_BUCKETS))
 
 
+def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Order rows staged once (S4) and taken as two arrivals: days before SPLIT_DAY, then the rest.
+
+    The join runs once; each arrival reads only its own staged folder.
+    """
+    path = shared_dir(spark, "queries", "arrivals")
+    stage_rows(orders_from_tpch(spark, sf_dir), path, F.when(F.col("date") < SPLIT_DAY, 0).otherwise(1))
+    return read_staged_batch(spark, path, 0), read_staged_batch(spark, path, 1)
+
+
 def _two_batches(spark, sf_dir, path, first_v3: bool) -> None:
-    """Batch 0: days before SPLIT_DAY; batch 1: the rest. Written idempotently."""
-    a = aggregate_orders(orders_from_tpch(spark, sf_dir, until=SPLIT_DAY))
-    b = aggregate_orders(orders_from_tpch(spark, sf_dir, since=SPLIT_DAY))
+    """Each arrival aggregated on its own and written idempotently as its own batch."""
+    first, later = _arrivals(spark, sf_dir)
+    a, b = aggregate_orders(first), aggregate_orders(later)
     if first_v3:
         a = with_null_order_id(a)
     write_batch(with_run_timestamp(a, RUN_TS), path, 0)
@@ -102,8 +114,8 @@ def incremental_append(spark, sf_dir):
 
 def append_by_name_query(spark, sf_dir):
     path = shared_dir(spark, "queries", "append_by_name")
-    a = with_null_order_id(aggregate_orders(orders_from_tpch(spark, sf_dir, until=SPLIT_DAY)))
-    b = aggregate_orders(orders_from_tpch(spark, sf_dir, since=SPLIT_DAY))
+    first, later = _arrivals(spark, sf_dir)
+    a, b = with_null_order_id(aggregate_orders(first)), aggregate_orders(later)
     write_day_partitioned(with_run_timestamp(a, RUN_TS), path)
     append_by_name(with_run_timestamp(b, RUN_TS), path, TARGET_V3)
     return read_target(spark, path, TARGET_V3).select(*AGG_COLUMNS, "order_id")
@@ -119,8 +131,8 @@ def catalog_append_by_name(spark, sf_dir):
     base = shared_dir(spark, "queries", "catalog")
     name = "v3_" + base.rstrip("/").rsplit("/", 1)[-1][:16]
     [table] = create_target_tables(spark, CATALOG_DB, [name], TARGET_V3, partition_by=("date",), location=base)
-    a = with_null_order_id(aggregate_orders(orders_from_tpch(spark, sf_dir, until=SPLIT_DAY)))
-    b = aggregate_orders(orders_from_tpch(spark, sf_dir, since=SPLIT_DAY))
+    first, later = _arrivals(spark, sf_dir)
+    a, b = with_null_order_id(aggregate_orders(first)), aggregate_orders(later)
     insert_by_name(spark, with_run_timestamp(a, RUN_TS), table, ("date",))
     insert_by_name(spark, with_run_timestamp(b, RUN_TS), table, ("date",))
     return spark.table(table).select(*AGG_COLUMNS, "order_id")

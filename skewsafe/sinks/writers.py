@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,16 @@ def write_partitioned(
         writer.save(path)
 
 
+def stage_rows(df: DataFrame, path: str, batch: Column, fmt: str = "parquet") -> None:
+    """Stage rows once as Parquet (S4), one ``arrival=<n>`` folder per batch.
+
+    ``batch`` gives each row its batch number. Later steps read one batch
+    each with a partition filter, so the rows are computed once however
+    many batches are taken from them.
+    """
+    write_partitioned(df.withColumn("arrival", batch.cast("int")), path, ["arrival"], (), fmt)
+
+
 def write_day_partitioned(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet",
                           mode: str = "overwrite", granularity: str = "day") -> None:
     """One directory per day (S8); ``granularity='month'`` groups days by month.

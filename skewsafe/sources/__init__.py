@@ -6,11 +6,12 @@ from skewsafe.sources.tables import (
     plant_faults,
     preview,
     read_orders,
+    read_staged_batch,
     read_table,
     table_path,
 )
 
 __all__ = [
     "TABLES", "filter_since", "generate_orders", "orders_from_tpch", "plant_faults",
-    "preview", "read_orders", "read_table", "second_batch", "skewed_orders", "table_path",
+    "preview", "read_orders", "read_staged_batch", "read_table", "second_batch", "skewed_orders", "table_path",
 ]

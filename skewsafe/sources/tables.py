@@ -11,6 +11,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skewsafe.functions.columns import day_string
 from skewsafe.schemas import ORDERS
@@ -115,6 +116,13 @@ def read_orders(
     return filter_since(df, since) if since is not None else df
 
 
+def read_staged_batch(spark: SparkSession, path: str, arrival: int, schema: T.StructType = ORDERS,
+                      fmt: str = "parquet") -> DataFrame:
+    """One batch of rows staged by ``sinks.stage_rows`` (a partition filter: only its folder is read)."""
+    staged = T.StructType(schema.fields + [T.StructField("arrival", T.IntegerType(), True)])
+    return spark.read.format(fmt).schema(staged).load(path).where(F.col("arrival") == int(arrival)).drop("arrival")
+
+
 def plant_faults(df: DataFrame, null_every: int = 97, negate_every: int = 101) -> DataFrame:
     """Rows with planted faults for the quality checks.
 

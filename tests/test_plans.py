@@ -105,3 +105,15 @@ def test_totals_from_stored_pages_skip_the_id_lists(spark, scratch):
     order_list_pages(orders_from_tpch(spark, SF_SMALL), with_sums=True).write.parquet(scratch)
     schemas = " ".join(read_schemas(totals_from_pages(spark.read.parquet(scratch))))
     assert "page_cents" in schemas and "order_list" not in schemas
+
+
+def test_staged_arrival_reads_only_its_folder(spark, scratch):
+    from skewsafe.sinks.writers import stage_rows
+    from skewsafe.sources.tables import read_staged_batch
+
+    rows = orders_from_tpch(spark, SF_SMALL)
+    stage_rows(rows, scratch, F.when(F.col("date") < "1996-01-01", 0).otherwise(1))
+    later = read_staged_batch(spark, scratch, 1)
+    assert "PartitionFilters: [isnotnull(arrival" in plan_text(later) and "(arrival#" in plan_text(later)
+    assert later.count() + read_staged_batch(spark, scratch, 0).count() == rows.count()
+    assert later.where("date < '1996-01-01'").count() == 0
