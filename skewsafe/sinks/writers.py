@@ -65,9 +65,11 @@ def stage_rows(df: DataFrame, path: str, batch: Column, fmt: str = "parquet") ->
 
     ``batch`` gives each row its batch number. Later steps read one batch
     each with a partition filter, so the rows are computed once however
-    many batches are taken from them.
+    many batches are taken from them. Written straight from the producing
+    tasks (at most one file per task and batch): a layout shuffle here
+    would move every row once more.
     """
-    write_partitioned(df.withColumn("arrival", batch.cast("int")), path, ["arrival"], (), fmt)
+    df.withColumn("arrival", batch.cast("int")).write.format(fmt).mode("overwrite").partitionBy("arrival").save(path)
 
 
 def write_day_partitioned(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet",
@@ -192,14 +194,15 @@ def staged_publish(
 ) -> int:
     """Write to a staging location, check it, then publish its partitions.
 
-    The staged copy is plain files (no partition folders), so the result is
-    computed once and the partitioned layout is paid for once, at publish.
+    The staged copy is plain files (no partition folders), written by the
+    producing tasks, so the result is computed once and the partitioned
+    layout (one shuffle) is paid for once, at publish.
     The target is touched only after the staged copy is complete and, when
     ``expected_rows`` is given, has that many rows. Publishing uses dynamic
     overwrite: partitions not in the batch stay as they were.
     """
     spark = df.sparkSession
-    write_table(df.hint("rebalance"), staging_path, fmt)
+    write_table(df, staging_path, fmt)  # producing tasks write directly: no layout shuffle
     staged = spark.read.format(fmt).schema(schema).load(staging_path)
     rows = staged.count()
     if expected_rows is not None and rows != expected_rows:
