@@ -77,9 +77,13 @@ def aggregate_salted(
     by ``keys``. ``hot_keys=None`` salts every key.
 
     The salt is a deterministic hash, never ``rand()``: a retried task must
-    send each row to the same group.
+    send each row to the same group. With an empty ``hot_keys`` nothing is
+    salted, so this is :func:`aggregate_orders` (one shuffle, not two).
     """
-    salted = df.withColumn("_salt", salt(salt_key, hot_keys, salt_buckets, list(spread)))
+    hot = None if hot_keys is None else list(hot_keys)
+    if hot is not None and not hot:
+        return aggregate_orders(df, keys)
+    salted = df.withColumn("_salt", salt(salt_key, hot, salt_buckets, list(spread)))
     phase1 = salted.groupBy(*keys, "_salt").agg(
         F.sum(cents("amount")).alias("_cents"),
         F.count(F.lit(1)).alias("_cnt"),

@@ -117,3 +117,8 @@ def test_staged_arrival_reads_only_its_folder(spark, scratch):
     assert "PartitionFilters: [isnotnull(arrival" in plan_text(later) and "(arrival#" in plan_text(later)
     assert later.count() + read_staged_batch(spark, scratch, 0).count() == rows.count()
     assert later.where("date < '1996-01-01'").count() == 0
+
+
+def test_salted_without_hot_keys_is_one_shuffle(spark):
+    df = aggregate_salted(orders_from_tpch(spark, SF_SMALL), [], 10)
+    assert count_nodes(df, "HashAggregate") == 2
