@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 from pyspark.sql import DataFrame
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
-    """The plan as ``explain(mode)`` prints it."""
-    return df._jdf.queryExecution().explainString(_mode(df, mode))
-
-
-def _mode(df: DataFrame, mode: str):
-    jvm = df.sparkSession._jvm
-    return jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
+    """The plan as ``df.explain(mode)`` prints it (after an action: AQE's final plan)."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
 
 
 def count_nodes(df: DataFrame, node: str) -> int:

@@ -94,7 +94,7 @@ def test_hot_join_key_is_split_by_aqe(spark, scratch, op):
         rows = orders_from_tpch(spark, scratch)
         v = getattr(aggregate, op)(rows)
         total = sum(r["order_count"] for r in v.collect())
-        final = v._jdf.queryExecution().executedPlan().toString()
+        final = plan_text(v, "simple")
     assert total == li.count()
     assert "SortMergeJoin(skew=true)" in final
 
