@@ -19,24 +19,28 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _norm(v) -> str:
+def _norm(v, exact: bool = False) -> str:
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 6))
+        return "nan" if math.isnan(v) else repr(v if exact else round(v, 6))
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, list | tuple):
-        return "[" + ",".join(_norm(x) for x in v) + "]"
+        return "[" + ",".join(_norm(x, exact) for x in v) + "]"
     return repr(v)
 
 
-def digest(rows, cols) -> str:
+def digest(rows, cols, exact: bool = False) -> str:
+    """Order-insensitive hash of rows; columns sorted by name; floats to 6 digits unless ``exact``."""
     order = sorted(range(len(cols)), key=lambda i: cols[i])
-    lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    lines = sorted("|".join(_norm(r[i], exact) for i in order) for r in rows)
     return hashlib.sha1("\n".join(lines).encode()).hexdigest()[:16]
 
 
-def same_result(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> tuple[bool, str]:
-    """Compare a Spark frame with a DuckDB query; returns (equal, explanation)."""
+def same_result(spark_df, con: duckdb.DuckDBPyConnection, sql: str, exact: bool = False) -> tuple[bool, str]:
+    """Compare a Spark frame with a DuckDB query; returns (equal, explanation).
+
+    ``exact=True`` compares floats bit for bit instead of to 6 digits.
+    """
     srows = [tuple(r) for r in spark_df.collect()]
     scols = spark_df.columns
     res = con.execute(sql)
@@ -46,6 +50,6 @@ def same_result(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> tuple[boo
         return False, f"columns {sorted(scols)} != {sorted(dcols)}"
     if len(srows) != len(drows):
         return False, f"rows {len(srows)} != {len(drows)}"
-    if digest(srows, scols) != digest(drows, dcols):
+    if digest(srows, scols, exact) != digest(drows, dcols, exact):
         return False, "values differ"
     return True, f"{len(srows)} rows"
