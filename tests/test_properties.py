@@ -10,10 +10,16 @@ from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skewsafe.operators.aggregate import aggregate_orders, aggregate_salted, order_list_pages
-from skewsafe.schemas import ORDERS
+from skewsafe.operators.aggregate import aggregate_orders, aggregate_salted, order_list_pages, with_run_timestamp
+from skewsafe.schemas import ORDERS, TARGET, with_field
+from skewsafe.session import shared_dir
+from skewsafe.sinks.writers import read_target, write_batch
+from skewsafe.sources.generator import second_batch
 from tests.test_invariants import _expand
+from tools.compare import digest
 
 KEYS = ("partition_key", "customer_id", "product")
 
@@ -69,3 +75,18 @@ def test_pages_expand_to_the_whole_list(spark, rows, span):
         assert len(ids) == p["order_count"] and all(i // span == p["list_page"] for i in ids)
         got[tuple(p[k] for k in KEYS)].extend(ids)
     assert got == {k: sorted(v) for k, v in expected.items()}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(order=st.lists(st.integers(min_value=0, max_value=2), min_size=1, max_size=5))
+def test_replayed_batches_are_stored_once(spark, order):
+    """Any sequence of batch writes, with replays, stores each distinct batch exactly once."""
+    v = with_run_timestamp(aggregate_orders(second_batch(spark, rows=300)))
+    part = lambda k: v.where(F.pmod(F.xxhash64("customer_id"), F.lit(3)) == k)
+    path = shared_dir(spark, "tests", "replay")
+    for k in order:
+        write_batch(part(k), path, k)
+    stored = read_target(spark, path, with_field(TARGET, "batch_id", T.LongType())).drop("batch_id", "processed_timestamp")
+    expected = v.where(F.pmod(F.xxhash64("customer_id"), F.lit(3)).isin(sorted(set(order)))).drop("processed_timestamp")
+    assert digest([tuple(r) for r in stored.select(*expected.columns).collect()], expected.columns) == \
+        digest([tuple(r) for r in expected.collect()], expected.columns)
