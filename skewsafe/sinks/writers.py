@@ -45,6 +45,10 @@ def write_partitioned(
 
     ``dynamic=True`` replaces only the partitions present in ``df`` (the
     rest of the table stays), which makes a re-run of the same batch a no-op.
+
+    AQE coalescing is switched off on the session while a directory-
+    partitioned write runs; writes started from other threads of the same
+    session in that time see the same setting.
     """
     parts = list(partition_by)
     laid = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
