@@ -119,3 +119,9 @@ def test_totals_from_pages_equal_plain(orders):
     assert _rows(totals_from_pages(pages)) == _rows(aggregate_orders(orders))
     plain = order_list_pages(orders, page_span=500)
     assert _rows(pages.select(*plain.columns)) == _rows(plain)
+
+
+def test_salting_another_key_column_equals_plain(orders):
+    hot_customer = orders.groupBy("customer_id").count().orderBy(F.desc("count"), "customer_id").first()[0]
+    salted = aggregate_salted(orders, [hot_customer], 7, salt_key="customer_id")
+    assert _rows(salted) == _rows(aggregate_orders(orders))
