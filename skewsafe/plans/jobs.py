@@ -28,7 +28,6 @@ from skewsafe.sinks.writers import (
     read_target,
     verify_count,
     write_batch,
-    write_clustered,
     write_day_partitioned,
     write_table,
 )
