@@ -25,6 +25,16 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def cpu_ticks() -> tuple[int, int] | None:
+    """(user+system, steal) jiffies from /proc/stat, or None where it does not exist."""
+    try:
+        with open("/proc/stat") as f:
+            fields = [int(x) for x in f.readline().split()[1:]]
+        return fields[0] + fields[2], fields[7]
+    except (OSError, IndexError, ValueError):
+        return None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -47,12 +57,19 @@ def main() -> None:
         run(QUERIES[name](spark, warm_dir))
 
     times: dict[str, float] = {}
+    ticks0 = cpu_ticks()
     for name in names:
         t0 = time.perf_counter()
         run(QUERIES[name](spark, sf_dir))
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"# {name}: {times[name]:.2f}s", file=sys.stderr, flush=True)
+    ticks1 = cpu_ticks()
     spark.stop()
+    # Host CPU steal during the measured runs, relative to the CPU time used:
+    # on a shared host, a high value means the times above are inflated.
+    steal = None
+    if ticks0 and ticks1 and ticks1[0] > ticks0[0]:
+        steal = round((ticks1[1] - ticks0[1]) / (ticks1[0] - ticks0[0]), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_sec",
@@ -61,6 +78,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "cpu_steal_per_busy": steal,
     }))
 
 
