@@ -4,15 +4,31 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skewsafe.llm import bpe, token_counts
+from skewsafe.llm import bpe, packing, sharding, token_counts
 from skewsafe.llm.common import table
 
 # Production parameters.
+PACK_TOKENIZER = "word_bpe_49k.json"
 COUNT_TOKENIZER = "byte_bpe_50k.json"
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 contiguous shards of near equal bytes."""
+    placed = sharding.shard_by_bytes(sharding.sized(table(spark, sf_dir, "documents")))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document by overlap resynchronisation."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_TOKENIZER))
@@ -26,6 +42,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_sharding": op2_sharding,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
