@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewsafe.llm import bpe, packing, sharding, token_counts
+from skewsafe.llm import bpe, packing, sharding, simhash, token_counts
 from skewsafe.llm.common import table
 
 # Production parameters.
@@ -29,6 +29,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose fingerprints differ by at most 3 bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document by overlap resynchronisation."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_TOKENIZER))
@@ -44,6 +49,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sharding": op2_sharding,
+    "op4_simhash": op4_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
