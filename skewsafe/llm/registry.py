@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewsafe.llm import bpe, packing, sharding, simhash, token_counts
+from skewsafe.llm import bpe, packing, quality, sharding, simhash, token_counts, toxicity
 from skewsafe.llm.common import table
 
 # Production parameters.
@@ -34,6 +34,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and CRF verdict of every document."""
+    return quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of held-out rows are never learned."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document by overlap resynchronisation."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_TOKENIZER))
@@ -50,6 +60,8 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sharding": op2_sharding,
     "op4_simhash": op4_simhash,
+    "op5_quality": op5_quality,
+    "op7_toxicity": op7_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
