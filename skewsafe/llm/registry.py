@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewsafe.llm import bpe, packing, quality, sharding, simhash, token_counts, toxicity
+from skewsafe.llm import bpe, packing, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
 from skewsafe.llm.common import table
 
 # Production parameters.
@@ -44,6 +44,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url.
+
+    ``pages`` carries no labels of its own: the row of ``labels`` with the page's
+    number is its outcome (bad: low quality or toxic).
+    """
+    bad = F.greatest(1 - F.col("quality"), F.col("toxic"))
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    judged = url_filter.judge_pages(table(spark, sf_dir, "pages"), outcomes)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document by overlap resynchronisation."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_TOKENIZER))
@@ -62,8 +74,9 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {**sql.ORACLE_SQL}
