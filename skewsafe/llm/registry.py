@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewsafe.llm import bpe, packing, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
+from skewsafe.llm import bpe, embeddings, packing, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
 from skewsafe.llm.common import table
 
 # Production parameters.
@@ -39,6 +39,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and kept rows of all embeddings at cosine 0.9."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of held-out rows are never learned."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -73,6 +78,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
+    "op6_embeddings": op6_embeddings,
     "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
