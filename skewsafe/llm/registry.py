@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewsafe.llm import bpe, embeddings, packing, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
+from skewsafe.llm import bpe, embeddings, packing, pii, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
 from skewsafe.llm.common import table
 
 # Production parameters.
 PACK_TOKENIZER = "word_bpe_49k.json"
+SURROGATE_KEY = "skewsafe"
 COUNT_TOKENIZER = "byte_bpe_50k.json"
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -29,6 +30,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by surrogates."""
+    return pii.with_surrogates(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents whose fingerprints differ by at most 3 bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -76,6 +82,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sharding": op2_sharding,
+    "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_embeddings": op6_embeddings,
