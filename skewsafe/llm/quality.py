@@ -184,7 +184,8 @@ def fit_crf(
         gradient = np.concatenate([want - np.einsum("tsf,ts->f", x, content), (moves - pair).ravel()])
         gradient = (gradient - penalty * theta) / lines
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
-        theta = theta + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        rate = 0.1 * (1 - (step - 1) / rounds)
+        theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return theta[:FEATURES], theta[FEATURES:].reshape(2, 2)
 
 

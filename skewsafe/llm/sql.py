@@ -40,7 +40,7 @@ placed AS (
   FROM labelled),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM placed GROUP BY 1, 2),
 suffixes AS (
-  SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.5) / (sum(n) + 1) FROM domains) AS m
+  SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT sum(k) / (sum(n) + 1) FROM domains) AS m
   FROM domains GROUP BY 1),
 suffix_s AS (SELECT {_strength('suffixes')} AS s),
 by_suffix AS (SELECT suffix, (k + s * m) / (n + s) AS m FROM suffixes, suffix_s),

@@ -11,8 +11,8 @@ probability from both and only what the classes really differ in counts:
 A word's evidence is the difference of its log-likelihoods. A document is judged
 by length-normalised differences: over all its words, over its strongest 16
 consecutive words, and over its strongest one, two and three words; a logistic
-curve, fitted on labelled rows that the models have not seen, turns them into a
-score.
+curve turns them into a score. It is fitted on what each labelled document gets
+from models that were fitted without its part of the sample.
 
 The models are a classifier fitted on a bounded sample of labelled rows:
 ``TOXIC_SAMPLE`` toxic and ``ORDINARY_SAMPLE`` ordinary documents, chosen by a
@@ -43,8 +43,8 @@ WINDOW = 16
 THRESHOLD = 0.3
 CACHE_WORDS = 500_000
 BATCH_CHARS = 8_000_000
-#: One labelled row in ``CALIBRATION`` calibrates the score, the others fit the models.
-CALIBRATION = 3
+#: Parts of the sample; each is calibrated with models of the others.
+FOLDS = 3
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -85,7 +85,7 @@ class _Grams:
         power = np.uint64(1)
         with np.errstate(over="ignore"):
             for length in range(1, ORDER + 1):
-                total[length - 1:] += char[: len(flat) - length + 1] * power
+                total[length - 1:] += char[: max(0, len(flat) - length + 1)] * power
                 power = power * _STEP
                 keys[length - 1] = _mix(total + np.uint64(length))
         return cls(keys, place, starts)
@@ -201,24 +201,25 @@ def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
-    """``word, ordinary, toxic``: occurrences in the sample's whole texts by class."""
+    """``word, fold, ordinary, toxic``: occurrences in the sample's whole texts by fold and class."""
 
     def count(batches):
         for batch in batches:
-            found: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found: dict[tuple[str, int], list[int]] = {}
+            for text, toxic, fold in zip(*(c.to_pylist() for c in batch.columns)):
                 for word in words(text or ""):
-                    found.setdefault(word, [0, 0])[toxic] += 1
+                    found.setdefault((word, fold), [0, 0])[toxic] += 1
             yield pa.RecordBatch.from_pydict(
                 {
-                    "word": pa.array(list(found), pa.string()),
+                    "word": pa.array([k[0] for k in found], pa.string()),
+                    "fold": pa.array([k[1] for k in found], pa.int32()),
                     "ordinary": pa.array([n[0] for n in found.values()], pa.int64()),
                     "toxic": pa.array([n[1] for n in found.values()], pa.int64()),
                 }
             )
 
-    parts = sample.select("text", "toxic").mapInArrow(count, "word string, ordinary long, toxic long")
-    return parts.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    parts = sample.select("text", "toxic", "fold").mapInArrow(count, "word string, fold int, ordinary long, toxic long")
+    return parts.groupBy("word", "fold").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
 _caches: dict[str, UnitCache] = {}
@@ -282,16 +283,30 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> ToxicityMod
     sample = staged(
         docs.select("doc_id", F.col(text).alias("text"))
         .join(F.broadcast(ids), "doc_id")
-        .withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(CALIBRATION)) == 0),
+        .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")),
         "toxicity-sample",
     )
     # Sorted, so that every run builds the same tables.
-    counted = sorted(_word_counts(sample.where("not calibrates")).collect())
+    counted = sorted(_word_counts(sample).collect())
+    of_fold = np.array([r["fold"] for r in counted], dtype=np.int64)
     counts = np.array([(r["ordinary"], r["toxic"]) for r in counted], dtype=float).reshape(-1, 2)
-    tables = fit([r["word"] for r in counted], counts)
-    model = ToxicityModel(spark, tables, np.zeros(FEATURES + 1), uuid.uuid4().hex)
-    rows = sample.where("calibrates").select("doc_id", "toxic", model._features()("text").alias("x")).collect()
+
+    def fitted(use: np.ndarray) -> ToxicityModel:
+        merged: dict[str, np.ndarray] = {}
+        for i in np.flatnonzero(use):
+            word = counted[i]["word"]
+            merged[word] = merged[word] + counts[i] if word in merged else counts[i]
+        tables = fit(list(merged), np.array(list(merged.values())).reshape(-1, 2))
+        return ToxicityModel(spark, tables, np.zeros(FEATURES + 1), uuid.uuid4().hex)
+
+    rows = []
+    for fold in range(FOLDS):
+        others = fitted(of_fold != fold)
+        unseen = sample.where(F.col("fold") == fold).select("doc_id", "toxic", others._features()("text").alias("x"))
+        rows += unseen.collect()
+        others.shared.unpersist()
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
+    model = fitted(np.ones(len(counted), bool))
     if rows:
         x = np.array([r["x"] for r in rows])
         model.weights = calibrate(x, np.array([r["toxic"] for r in rows], dtype=float))

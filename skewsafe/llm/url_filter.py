@@ -93,9 +93,8 @@ def _strength(groups: DataFrame) -> Column:
     noise = F.col("m") * (1 - F.col("m"))
     n, k, m = F.col("n"), F.col("k"), F.col("m")
     over = F.sum((k - n * m) * (k - n * m)) - F.sum(n * noise)
-    r = over / F.sum(n * (n - 1) * noise)
     # No member with two labels: no spread to see, full weight on the prior.
-    r = F.coalesce(F.when(F.isnan(r), None).otherwise(r), F.lit(0.0001))
+    r = F.coalesce(F.try_divide(over, F.sum(n * (n - 1) * noise)), F.lit(0.0001))
     r = F.greatest(F.lit(0.0001), F.least(F.lit(0.5), r))
     return groups.agg((1 / r - 1).alias("s")).scalar()
 
@@ -121,7 +120,7 @@ def host_reputation(labelled: DataFrame) -> DataFrame:
     hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
-    everything = domains.agg((F.sum("k") + 0.5) / (F.sum("n") + 1)).scalar()
+    everything = domains.agg(F.sum("k") / (F.sum("n") + 1)).scalar()
     suffixes = domains.groupBy("suffix").agg(*sums).withColumn("m", everything)
     by_suffix = _shrunk(suffixes).select("suffix", F.col("p").alias("m"))
     by_domain = _shrunk(domains.join(by_suffix, "suffix")).select("domain", F.col("p").alias("m"))

@@ -1,0 +1,89 @@
+"""Operator 8."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from skewsafe.llm import url_filter
+from skewsafe.llm.common import table
+from skewsafe.llm.registry import op8_url_filter
+from skewsafe.llm.sql import ORACLE_SQL
+from tests.conftest import SF_SMALL
+
+
+def pages(spark, urls):
+    return spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], "page_id long, url string, html string")
+
+
+def outcomes(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, bad int")
+
+
+def test_hosts_paths_and_rules(spark):
+    cases = [
+        ("https://WWW.Example.NET/en/x?q", "www.example.net", "/en/x", "example.net/en/"),
+        ("http://example.net/EN/x", "example.net", "/EN/x", "net/"),
+        ("http://notexample.net/en/", "notexample.net", "/en/", "net/"),
+        ("http://a.net", "a.net", "", None),
+        ("http://a.net?x=/", "a.net", "", None),
+        ("http://blog.example.com/de/1#t", "blog.example.com", "/de/1", "example.com/de/"),
+        ("http://badexample.com/de/", "badexample.com", "/de/", None),
+        ("https://x.org/fr/", "x.org", "/fr/", "org/fr/"),
+        ("https://x.org/fr", "x.org", "/fr", None),
+        ("a://b://c/d", "b:", "//c/d", None),
+        ("http://ÀB.com:80/x\ny?z", "Àb.com:80", "/x\ny", None),
+        ("no scheme.net/", "", "", None),
+        ("", "", "", None),
+        (None, "", "", None),
+    ]
+    got = url_filter.judge_pages(pages(spark, [c[0] for c in cases]), outcomes(spark, [])).collect()
+    for r in got:
+        assert (r["host"], r["path"], r["rule"]) == cases[r["page_id"]][1:]
+    assert {r["verdict"] for r in got if r["rule"] in ("net/", "example.com/de/")} == {"block"}
+    assert {r["verdict"] for r in got if r["rule"] in ("example.net/en/", "org/fr/", None)} == {"allow"}
+
+
+def test_domains(spark):
+    hosts = {"a.b.example.co.uk:8080": ("example.co.uk", "co.uk"), "x.y.com": ("y.com", "com"), "com": ("com", "com"),
+             "": ("", ""), "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "me@h.org": ("h.org", "org")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    domain, suffix = url_filter.domain_and_suffix(F.col("host"))
+    assert {r["host"]: (r["d"], r["s"]) for r in df.select("host", domain.alias("d"), suffix.alias("s")).collect()} == hosts
+
+
+def test_bad_hosts_are_blocked_and_small_ones_follow_their_domain(spark):
+    urls, bad = [], []
+    for host, n, k in [("bad.a.com", 400, 390), ("good.a.com", 400, 4), ("new.a.com", 1, 1), ("x.b.com", 300, 6), ("y.b.com", 300, 3)]:
+        for i in range(n):
+            bad.append((len(urls), int(i < k)))
+            urls.append(f"http://{host}/{i}")
+    urls.append("http://unseen.b.com/")
+    got = url_filter.judge_pages(pages(spark, urls), outcomes(spark, bad)).groupBy("host").agg(
+        F.collect_set("verdict").alias("v"), F.max("bad_rate").alias("rate")
+    )
+    rows = {r["host"]: (r["v"], r["rate"]) for r in got.collect()}
+    assert rows["bad.a.com"][0] == ["block"]
+    assert all(rows[h][0] == ["allow"] for h in rows if h != "bad.a.com")
+    assert rows["y.b.com"][1] < rows["unseen.b.com"][1] < rows["new.a.com"][1] < rows["bad.a.com"][1]
+
+
+def test_posterior_by_hand(spark):
+    """The strength formula against a plain Python version."""
+    groups = spark.createDataFrame([(40.0, 30.0, 0.5), (40.0, 8.0, 0.5), (10.0, 5.0, 0.5)], "n double, k double, m double")
+    over = sum((k - n * m) ** 2 - n * m * (1 - m) for n, k, m in ((40, 30, 0.5), (40, 8, 0.5), (10, 5, 0.5)))
+    r = over / sum(n * (n - 1) * 0.25 for n in (40, 40, 10))
+    s = url_filter._shrunk(groups).select("s").first()["s"]
+    assert math.isclose(s, 1 / r - 1)
+
+
+def test_repeated_and_null_labels_and_no_rows(spark):
+    odd = outcomes(spark, [(None, 1), (0, None), (0, 0), (0, 1), (0, 5), (99, 1)])
+    got = url_filter.judge_pages(pages(spark, ["http://h.com/", "http://h.com/"]), odd).collect()
+    assert len(got) == 2
+    assert url_filter.judge_pages(pages(spark, []), odd).count() == 0
+
+
+def test_oracle(spark, duck_small):
+    got = sorted(op8_url_filter(spark, SF_SMALL).collect())
+    want = duck_small.execute(ORACLE_SQL["op8_url_filter"]).fetchall()
+    assert [tuple(r) for r in got] == sorted(want) and len(got) == table(spark, SF_SMALL, "pages").count()
