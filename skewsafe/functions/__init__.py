@@ -1,20 +1,22 @@
+"""Column expressions shared by the operators."""
+
 from skewsafe.functions.columns import (
     as_date,
-    cents,
     day_string,
     distinct_count,
     exact_avg,
-    from_cents,
-    money,
+    exact_part,
+    from_parts,
     money_sum,
     null_flag,
     percent,
     ratio,
     run_timestamp,
     salt,
+    special_part,
 )
 
 __all__ = [
-    "as_date", "cents", "day_string", "distinct_count", "exact_avg", "from_cents", "money", "money_sum", "null_flag",
-    "percent", "ratio", "run_timestamp", "salt",
+    "as_date", "day_string", "distinct_count", "exact_avg", "exact_part", "from_parts", "money_sum", "null_flag",
+    "percent", "ratio", "run_timestamp", "salt", "special_part",
 ]

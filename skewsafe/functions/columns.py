@@ -15,42 +15,50 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c: ColumnOrName) -> Column:
-    """Round to cents (HALF_UP, as SQL ``ROUND(x, 2)``)."""
-    return F.round(_c(c), 2)
+# Decimals kept of each amount. A DOUBLE amount enters as its shortest decimal
+# form, so amounts with up to 12 decimals (below 10^16) add up exactly.
+SUM_TYPE = "decimal(28,12)"
 
 
-def cents(c: ColumnOrName) -> Column:
-    """Money in whole cents as BIGINT (inputs carry at most 2 decimals)."""
-    return F.rint(_c(c) * F.lit(100)).cast("bigint")
+def _finite(c: ColumnOrName) -> Column:
+    value = _c(c).cast("double")
+    return ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
 
 
-def from_cents(c: ColumnOrName) -> Column:
-    """Whole cents back to money (DOUBLE): the double nearest the exact amount."""
-    return _c(c) / F.lit(100)
+def exact_part(c: ColumnOrName, as_type: str = SUM_TYPE) -> Column:
+    """The finite amounts as exact decimals; NULL for NaN and infinities."""
+    return F.when(_finite(c), _c(c).cast(as_type))
+
+
+def special_part(c: ColumnOrName) -> Column:
+    """NaN and infinite amounts; NULL for the finite ones."""
+    return F.when(~_finite(c), _c(c).cast("double"))
+
+
+def from_parts(exact: ColumnOrName, special: ColumnOrName) -> Column:
+    """A sum from its two parts as DOUBLE, rounded once; NaN or infinity if any amount was."""
+    return F.coalesce(_c(special), _c(exact).cast("double"))
 
 
 def money_sum(c: ColumnOrName) -> Column:
-    """Sum of money, exact to the cent, as DOUBLE.
-
-    Adds whole cents as BIGINT: exact, and the same whatever order rows
-    arrive in, so partial sums (salting, re-adding batches) merge exactly.
-    A DOUBLE sum drifts with the row count: a group of 10^8 order lines can
-    be off by whole units. Equals ``ROUND(SUM(x), 2)`` wherever that sum's
-    error stays under half a cent. NULL when every input is NULL; an
-    overflow raises (ANSI mode).
+    """Exact sum of money as the nearest DOUBLE.
+
+    Adds decimals: the same whatever order rows arrive in, so partial sums
+    (salting, re-adding batches) merge exactly, and parts below a cent count.
+    A DOUBLE sum drifts with the row count. NaN, infinity and opposite
+    infinities give what a DOUBLE sum gives. NULL when every input is NULL;
+    an overflow raises (ANSI mode).
     """
-    return from_cents(F.sum(cents(c)))
+    return from_parts(F.sum(exact_part(c)), F.sum(special_part(c)))
 
 
-def exact_avg(c: ColumnOrName, scale: int = 2) -> Column:
-    """Order-independent average: exact decimal sum over the non-NULL count.
+def exact_avg(c: ColumnOrName, as_type: str = SUM_TYPE) -> Column:
+    """Order-independent average: the exact sum over the non-NULL count.
 
     ``AVG(double)`` differs in the last bits between runs and engines; a
-    ``DECIMAL(18, scale)`` sum does not.
+    decimal sum does not.
     """
-    col = _c(c)
-    return F.sum(col.cast(f"decimal(18,{scale})")).cast("double") / F.count(col)
+    return from_parts(F.sum(exact_part(c, as_type)), F.sum(special_part(c))) / F.count(_c(c))
 
 
 def distinct_count(c: ColumnOrName, approx: bool = False, rsd: float = 0.05) -> Column:

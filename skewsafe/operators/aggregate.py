@@ -14,7 +14,16 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewsafe.functions.columns import as_date, cents, from_cents, money_sum, ratio, run_timestamp, salt
+from skewsafe.functions.columns import (
+    as_date,
+    exact_part,
+    from_parts,
+    money_sum,
+    ratio,
+    run_timestamp,
+    salt,
+    special_part,
+)
 from skewsafe.schemas import GROUP_KEYS
 
 
@@ -33,7 +42,7 @@ def aggregate_orders(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, by_date: b
     """Totals per group.
 
     Output: ``keys, total_amount, order_count, date, avg_amount``.
-    ``total_amount`` is exact to the cent, ``order_count`` counts rows
+    ``total_amount`` is the exact sum as the nearest double, ``order_count`` counts rows
     (NULL amounts included), ``date`` is the group's first day.
     ``by_date=True`` adds ``date`` to the grouping keys.
     """
@@ -85,12 +94,13 @@ def aggregate_salted(
         return aggregate_orders(df, keys)
     salted = df.withColumn("_salt", salt(salt_key, hot, salt_buckets, list(spread)))
     phase1 = salted.groupBy(*keys, "_salt").agg(
-        F.sum(cents("amount")).alias("_cents"),
+        F.sum(exact_part("amount")).alias("_sum"),
+        F.sum(special_part("amount")).alias("_special"),
         F.count(F.lit(1)).alias("_cnt"),
         F.min(as_date("date")).alias("_day"),
     )
     phase2 = phase1.groupBy(*keys).agg(
-        from_cents(F.sum("_cents")).alias("total_amount"),
+        from_parts(F.sum("_sum"), F.sum("_special")).alias("total_amount"),
         F.sum("_cnt").alias("order_count"),
         F.min("_day").alias("_day"),
     )
@@ -107,18 +117,18 @@ def order_list_pages(
     """Sorted ``order_id`` list per group, in pages of ``page_span`` ids (A4).
 
     ``list_page = order_id div page_span``. ``order_list`` is the page's
-    sorted ids, comma-separated; an id that occurs ``n > 1`` times is written
-    once as ``<id>x<n>``. Concatenating a group's pages in ``list_page``
-    order and expanding the repeats gives the whole sorted list; no id is
-    dropped.
+    distinct ids (an array) and ``order_repeats`` says how often each occurs.
+    Concatenating a group's pages in ``list_page`` order and repeating the ids
+    gives the whole sorted list; no id is dropped.
 
     Repeats are counted first, so map-side partial aggregation collapses
     copies of one id before any shuffle, and a page row holds at most
     ``page_span`` entries however hot its group or id. The pages of one
     group are built by different tasks.
 
-    Output: ``keys, list_page, order_count, order_list``; ``with_sums=True``
-    adds ``page_cents`` (sum of ``amount`` in whole cents) and ``page_day`` (first day),
+    Output: ``keys, list_page, order_count, order_list, order_repeats``; ``with_sums=True``
+    adds ``page_sum`` and ``page_special`` (exact and non-finite parts of the sum
+    of ``amount``) and ``page_day`` (first day),
     from which :func:`totals_from_pages` rebuilds the group totals.
     """
     page = F.expr(f"`{id_col}` div {int(page_span)}").alias("list_page")
@@ -127,27 +137,26 @@ def order_list_pages(
                  F.sort_array(F.collect_list(F.struct(id_col, "_n"))).alias("_ids")]
     extra = []
     if with_sums:
-        id_aggs += [F.sum(cents("amount")).alias("_cents"), F.min(as_date("date")).alias("_day")]
-        page_aggs += [F.sum("_cents").alias("page_cents"), F.min("_day").alias("page_day")]
-        extra = ["page_cents", "page_day"]
+        id_aggs += [F.sum(exact_part("amount")).alias("_sum"), F.sum(special_part("amount")).alias("_special"),
+                    F.min(as_date("date")).alias("_day")]
+        page_aggs += [F.sum("_sum").alias("page_sum"), F.sum("_special").alias("page_special"),
+                      F.min("_day").alias("page_day")]
+        extra = ["page_sum", "page_special", "page_day"]
     per_id = df.groupBy(*keys, page, id_col).agg(*id_aggs)
     pages = per_id.groupBy(*keys, "list_page").agg(*page_aggs)
-    entry = lambda e: F.when(
-        e["_n"] > 1, F.concat(e[id_col].cast("string"), F.lit("x"), e["_n"].cast("string"))
-    ).otherwise(e[id_col].cast("string"))
-    return pages.select(*keys, "list_page", "order_count",
-                        F.array_join(F.transform("_ids", entry), ",").alias("order_list"), *extra)
+    return pages.select(*keys, "list_page", "order_count", F.col("_ids")[id_col].alias("order_list"),
+                        F.col("_ids")["_n"].alias("order_repeats"), *extra)
 
 
 def totals_from_pages(pages: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
     """Group totals from ``order_list_pages(..., with_sums=True)`` output.
 
     Same rows as :func:`aggregate_orders` on the original rows (sums are
-    re-added exactly, in cents). Reads only the key and sum columns, so
+    re-added exactly). Reads only the key and sum columns, so
     a stored page table is scanned without its id lists.
     """
     agg = pages.groupBy(*keys).agg(
-        from_cents(F.sum("page_cents")).alias("total_amount"),
+        from_parts(F.sum("page_sum"), F.sum("page_special")).alias("total_amount"),
         F.sum("order_count").alias("order_count"),
         F.min("page_day").alias("_day"),
     )

@@ -20,7 +20,7 @@ def table_summary(v: DataFrame, approx: bool = False) -> DataFrame:
     return v.agg(
         F.count(F.lit(1)).alias("total_records"),
         distinct_count("partition_key", approx).alias("unique_keys"),
-        exact_avg("total_amount", 2).alias("avg_amount"),
+        exact_avg("total_amount").alias("avg_amount"),
     )
 
 

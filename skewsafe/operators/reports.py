@@ -23,7 +23,7 @@ def top_partitions(v: DataFrame, n: int = 10, key: str = "partition_key") -> Dat
     """Top ``n`` keys by group count, with the mean group total."""
     return (
         v.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("record_count"), exact_avg("total_amount", 2).alias("avg_total_amount"))
+        .agg(F.count(F.lit(1)).alias("record_count"), exact_avg("total_amount").alias("avg_total_amount"))
         .orderBy(F.desc("record_count"), F.col(key))
         .limit(n)
     )
@@ -56,7 +56,7 @@ def daily_metrics(v: DataFrame, with_avg: bool | str = True, approx: bool = Fals
         money_sum("total_amount").alias("daily_revenue"),
     ]
     if with_avg:
-        aggs.append(exact_avg("avg_amount", 6).alias("avg_order_value"))
+        aggs.append(exact_avg("avg_amount", "decimal(18,6)").alias("avg_order_value"))
     if with_avg == "both":
         aggs.append((F.sum("total_amount") / F.sum("order_count")).alias("true_avg_order_value"))
     return v.groupBy("date").agg(*aggs).orderBy("date")

@@ -54,5 +54,6 @@ def hot_key_list(df: DataFrame, key: str = "partition_key", min_share: float = 0
         df = df.sample(fraction=sample_fraction, seed=seed)
     bound = int(1 / min_share)
     rows = detect_hot_keys(df, key, min_share).orderBy(F.desc("record_count")).limit(bound + 1).collect()
-    assert len(rows) <= bound, "hot-key bound violated"
+    if len(rows) > bound:
+        raise RuntimeError(f"more than {bound} keys hold {min_share} of the rows each")
     return [r[key] for r in rows]

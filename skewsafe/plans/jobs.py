@@ -26,6 +26,7 @@ from skewsafe.operators.skew import hot_key_list
 from skewsafe.schemas import TARGET, TARGET_V3, with_field
 from skewsafe.sinks.writers import (
     read_target,
+    replace_with_batch,
     verify_count,
     write_batch,
     write_day_partitioned,
@@ -98,8 +99,8 @@ def pipeline_v3(
 
     ``hot_keys=None`` detects keys holding ``min_share`` of the rows (a
     bounded list), from a ``detect_sample`` fraction of them when given.
-    The table is written as batch ``batch_id`` so later appends
-    (:func:`incremental_append`) are replay-safe.
+    The whole table is overwritten; its rows are batch ``batch_id``, so later
+    appends (:func:`incremental_append`) are replay-safe.
     """
     spark = rows.sparkSession
     if since is not None:
@@ -108,7 +109,7 @@ def pipeline_v3(
     result = with_run_timestamp(with_null_order_id(aggregate_salted(rows, hot, salt_buckets)), run_ts)
 
     def write():
-        write_batch(result, path, batch_id, ("date",), ("partition_key", "customer_id"))
+        replace_with_batch(result, path, batch_id, ("date",), ("partition_key", "customer_id"))
 
     return _timed("v3", path, spark, TARGET_BATCHED, write,
                   lambda t: {"top_partitions": reports.top_partitions(t)})
@@ -117,8 +118,8 @@ def pipeline_v3(
 def incremental_append(batch: DataFrame, path: str, batch_id: int, run_ts: _dt.datetime | None = None) -> JobResult:
     """Aggregate a later batch and add it to the v3 table as ``batch_id``.
 
-    Re-running with the same ``batch_id`` replaces that batch, so a retry
-    never doubles it. Missing ``order_id`` is stored as NULL.
+    Re-running with the same ``batch_id`` replaces all of that batch, so a
+    retry never doubles it and leaves none of its old rows. Missing ``order_id`` is stored as NULL.
     """
     spark = batch.sparkSession
     result = with_run_timestamp(aggregate_orders(batch), run_ts)

@@ -55,17 +55,47 @@ def _v_between(lo: str | None, hi: str | None) -> str:
 
 
 SPLIT_DAY = "2000-01-01"
+REPLAY_DAY = "2000-07-01"
 SINCE_DAY = "1998-01-01"
 AS_OF_DAY = "2000-12-31"
 PAGE_SPAN = 10_000
 
+# Totals of amounts with four decimals, added as decimals.
+CTE_DISCOUNTS = CTE_T.replace(
+    "l_extendedprice AS amount", "CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) AS amount"
+)
+SUBCENT = f"""WITH t AS ({CTE_DISCOUNTS})
+SELECT partition_key, customer_id, product, CAST(SUM(amount) AS DOUBLE) AS total_amount, COUNT(*) AS order_count,
+       MIN(date) AS date, CAST(SUM(amount) AS DOUBLE) / COUNT(*) AS avg_amount
+FROM t GROUP BY partition_key, customer_id, product"""
+BY_DATE = f"""WITH t AS ({CTE_T})
+SELECT partition_key, customer_id, product, ROUND(SUM(amount), 2) AS total_amount, COUNT(*) AS order_count, date,
+       ROUND(SUM(amount), 2) / COUNT(*) AS avg_amount
+FROM t GROUP BY partition_key, customer_id, product, date"""
+BATCHES = f"a AS ({_v_between(None, SPLIT_DAY)}), b AS ({_v_between(SPLIT_DAY, None)})"
+
+
+def _job(source: str) -> str:
+    return (f"SELECT *, '2024-01-15 12:00:00' AS processed_at, (SELECT COUNT(*) FROM {source}) AS table_rows "
+            f"FROM {source}")
+
+
 ORACLE_SQL: dict[str, str] = {
+    "agg_subcent": SUBCENT,
+    "agg_subcent_salted": SUBCENT,
+    "agg_orders_by_date": BY_DATE,
+    "write_by_date_roundtrip": BY_DATE,
+    "replayed_batch": f"WITH {BATCHES} SELECT *, CAST(0 AS BIGINT) AS batch_id FROM a "
+    f"UNION ALL SELECT *, CAST(1 AS BIGINT) AS batch_id FROM b WHERE date >= '{REPLAY_DAY}'",
+    "job_v1": _with(T, V) + _job("v"),
+    "job_v2": _with(T, V) + _job("v"),
+    "job_v3": f"WITH v AS ({_v_between(SINCE_DAY, None)}) " + _job("v"),
+    "job_append": f"WITH {BATCHES}, s AS (SELECT * FROM a UNION ALL SELECT * FROM b) " + _job("s"),
     "orders_adapter": _with(T) + "SELECT * FROM t",
     "scan_filter_pushdown": _with(T) + f"SELECT * FROM t WHERE date >= '{SINCE_DAY}'",
     "agg_collect_list": _with(T)
     + f"SELECT partition_key, customer_id, product, list_page, CAST(SUM(n) AS BIGINT) AS order_count, "
-    "string_agg(CASE WHEN n > 1 THEN CAST(order_id AS VARCHAR) || 'x' || CAST(n AS VARCHAR) "
-    "ELSE CAST(order_id AS VARCHAR) END, ',' ORDER BY order_id) AS order_list "
+    "list(order_id ORDER BY order_id) AS order_list, list(n ORDER BY order_id) AS order_repeats "
     f"FROM (SELECT partition_key, customer_id, product, CAST(order_id // {PAGE_SPAN} AS BIGINT) AS list_page, "
     "order_id, COUNT(*) AS n FROM t GROUP BY partition_key, customer_id, product, list_page, order_id) c "
     "GROUP BY partition_key, customer_id, product, list_page",
@@ -120,5 +150,5 @@ ORACLE_SQL: dict[str, str] = {
     "write_partitioned_roundtrip": AGG_V,
     "write_clustered_roundtrip": AGG_V,
     "staged_publish": AGG_V,
-    "stream_append_rollup": AGG_V,
+    "stream_append_rollup": _with(T, V) + "SELECT *, '2024-01-15 12:00:00' AS processed_at FROM v",
 }

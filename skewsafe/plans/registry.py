@@ -23,8 +23,9 @@ from skewsafe.operators.aggregate import (
     with_null_order_id,
     with_run_timestamp,
 )
-from skewsafe.operators.skew import detect_hot_keys, hot_key_list
-from skewsafe.plans.oracle import AS_OF_DAY, PAGE_SPAN, SINCE_DAY, SPLIT_DAY
+from skewsafe.operators.skew import detect_hot_keys
+from skewsafe.plans import jobs
+from skewsafe.plans.oracle import AS_OF_DAY, PAGE_SPAN, REPLAY_DAY, SINCE_DAY, SPLIT_DAY
 from skewsafe.schemas import GROUP_KEYS, ORDERS, TARGET, TARGET_V3, with_field
 from skewsafe.session import shared_dir
 from skewsafe.sinks.writers import (
@@ -32,28 +33,25 @@ from skewsafe.sinks.writers import (
     create_target_tables,
     insert_by_name,
     read_target,
-    stage_rows,
     staged_publish,
     write_batch,
     write_clustered,
     write_day_partitioned,
 )
-from skewsafe.sources.tables import orders_from_tpch, plant_faults, preview, read_staged_batch
-from skewsafe.streaming.append_stream import files_per_trigger, orders_stream, run_append_stream
+from skewsafe.sources.tables import orders_from_tpch, plant_faults, preview
+from skewsafe.streaming.append_stream import orders_stream, run_append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AGG_COLUMNS = [*GROUP_KEYS, "total_amount", "order_count", "date", "avg_amount"]
 RUN_TS = _dt.datetime(2024, 1, 15, 12, 0, 0)
 HOT_SHARE = 0.05
-DETECT_SAMPLE = 0.01
 SALT_BUCKETS = 10
-STREAM_BATCHES = 4
 CATALOG_DB = "skewsafe_queries"
-# At most this many inbox files per micro-batch: one file per join task,
-# about 200 MB each at scale, so a batch stays near 200 GB however large
-# the backlog (more batches instead).
-STREAM_MAX_FILES = 1000
+# A micro-batch takes about this much of a backlog.
+STREAM_BATCH_BYTES = 200 * 1024**3
+# Amount of the sub-cent queries: the discount granted on a line.
+DISCOUNT = "cast(cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(18,2)) as double)"
 
 
 def _v(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,45 +75,69 @@ def agg_orders(spark, sf_dir):
 
 
 def agg_salted_two_phase(spark, sf_dir):
+    # Every key is salted: map-side partial sums keep the first shuffle as
+    # small as the plain one's times the salts a task sees, and no pass over
+    # the rows is spent on finding the hot keys.
     rows = orders_from_tpch(spark, sf_dir, since=SINCE_DAY)
-    # Which keys get salted does not change the result, so hot keys are found
-    # on a 1% sample of the line items, taken before the join: the detection
-    # pass joins and aggregates 1% of the rows. The aggregate reads them all.
-    sample = orders_from_tpch(spark, sf_dir, since=SINCE_DAY, sample_fraction=DETECT_SAMPLE)
-    hot = hot_key_list(sample, "partition_key", HOT_SHARE)
-    return with_null_order_id(aggregate_salted(rows, hot, SALT_BUCKETS))
+    return with_null_order_id(aggregate_salted(rows, None, SALT_BUCKETS))
+
+
+def _discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows whose amount is the discount of the line: parts below a cent."""
+    return orders_from_tpch(spark, sf_dir, amount=DISCOUNT)
+
+
+def agg_subcent(spark, sf_dir):
+    return aggregate_orders(_discounts(spark, sf_dir))
+
+
+def agg_subcent_salted(spark, sf_dir):
+    return aggregate_salted(_discounts(spark, sf_dir), None, SALT_BUCKETS)
+
+
+def agg_orders_by_date(spark, sf_dir):
+    return aggregate_orders(orders_from_tpch(spark, sf_dir), by_date=True)
+
+
+def write_by_date_roundtrip(spark, sf_dir):
+    """Day-partitioned write of the by-date aggregate: its rows grow with the days and the keys."""
+    path = shared_dir(spark, "queries", "by_date")
+    write_day_partitioned(with_run_timestamp(agg_orders_by_date(spark, sf_dir), RUN_TS), path)
+    return read_target(spark, path, TARGET).select(*AGG_COLUMNS)
 
 
 def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Order rows staged once (S4) and taken as two arrivals: days before SPLIT_DAY, then the rest.
+    """Aggregates of two arrivals: days before SPLIT_DAY, then the rest.
 
-    The join runs once; each arrival reads only its own staged folder.
+    One join and one aggregate by (arrival, keys); only the groups are stored
+    (S4), and each arrival reads its own folder of them.
     """
     path = shared_dir(spark, "queries", "arrivals")
-    stage_rows(orders_from_tpch(spark, sf_dir), path, F.when(F.col("date") < SPLIT_DAY, 0).otherwise(1))
-    return read_staged_batch(spark, path, 0), read_staged_batch(spark, path, 1)
+    rows = orders_from_tpch(spark, sf_dir).withColumn("arrival", F.when(F.col("date") < SPLIT_DAY, 0).otherwise(1))
+    groups = aggregate_orders(rows, [*GROUP_KEYS, "arrival"])
+    groups.write.partitionBy("arrival").parquet(path)
+    stored = spark.read.schema(groups.schema).parquet(path)
+    first, later = (stored.where(F.col("arrival") == n).select(*AGG_COLUMNS) for n in (0, 1))
+    return first, later
 
 
-def _two_batches(spark, sf_dir, path, first_v3: bool) -> None:
-    """Each arrival aggregated on its own and written idempotently as its own batch."""
+def _two_batches(spark, sf_dir, path) -> None:
+    """Each arrival's aggregate written idempotently as its own batch."""
     first, later = _arrivals(spark, sf_dir)
-    a, b = aggregate_orders(first), aggregate_orders(later)
-    if first_v3:
-        a = with_null_order_id(a)
-    write_batch(with_run_timestamp(a, RUN_TS), path, 0)
-    write_batch(with_run_timestamp(b, RUN_TS), path, 1)
+    write_batch(with_run_timestamp(first, RUN_TS), path, 0)
+    write_batch(with_run_timestamp(later, RUN_TS), path, 1)
 
 
 def incremental_append(spark, sf_dir):
     path = shared_dir(spark, "queries", "incremental_append")
-    _two_batches(spark, sf_dir, path, first_v3=False)
+    _two_batches(spark, sf_dir, path)
     return read_target(spark, path, with_field(TARGET, "batch_id", T.LongType())).select(*AGG_COLUMNS)
 
 
 def append_by_name_query(spark, sf_dir):
     path = shared_dir(spark, "queries", "append_by_name")
     first, later = _arrivals(spark, sf_dir)
-    a, b = with_null_order_id(aggregate_orders(first)), aggregate_orders(later)
+    a, b = with_null_order_id(first), later
     write_day_partitioned(with_run_timestamp(a, RUN_TS), path)
     append_by_name(with_run_timestamp(b, RUN_TS), path, TARGET_V3)
     return read_target(spark, path, TARGET_V3).select(*AGG_COLUMNS, "order_id")
@@ -132,15 +154,63 @@ def catalog_append_by_name(spark, sf_dir):
     name = "v3_" + base.rstrip("/").rsplit("/", 1)[-1][:16]
     [table] = create_target_tables(spark, CATALOG_DB, [name], TARGET_V3, partition_by=("date",), location=base)
     first, later = _arrivals(spark, sf_dir)
-    a, b = with_null_order_id(aggregate_orders(first)), aggregate_orders(later)
+    a, b = with_null_order_id(first), later
     insert_by_name(spark, with_run_timestamp(a, RUN_TS), table, ("date",))
     insert_by_name(spark, with_run_timestamp(b, RUN_TS), table, ("date",))
     return spark.table(table).select(*AGG_COLUMNS, "order_id")
 
 
+def replayed_batch(spark, sf_dir):
+    """Batch 1 stored with all its days, then replayed with fewer: the table holds the replay only."""
+    path = shared_dir(spark, "queries", "replayed_batch")
+    first, later = _arrivals(spark, sf_dir)
+    write_batch(with_run_timestamp(first, RUN_TS), path, 0)
+    write_batch(with_run_timestamp(later, RUN_TS), path, 1)
+    write_batch(with_run_timestamp(later.where(F.col("date") >= REPLAY_DAY), RUN_TS), path, 1)
+    return read_target(spark, path, with_field(TARGET, "batch_id", T.LongType())).select(*AGG_COLUMNS, "batch_id")
+
+
+def job_v1(spark, sf_dir):
+    """Totals as stored by the job, with its run timestamp and post-write count."""
+    out = jobs.pipeline_v1(orders_from_tpch(spark, sf_dir), shared_dir(spark, "queries", "job_v1"), PAGE_SPAN, RUN_TS)
+    return _stored(spark, out, TARGET)
+
+
+def job_v2(spark, sf_dir):
+    """The day-partitioned table."""
+    out = jobs.pipeline_v2(orders_from_tpch(spark, sf_dir), shared_dir(spark, "queries", "job_v2"), RUN_TS)
+    return _stored(spark, out, TARGET)
+
+
+def job_v3(spark, sf_dir):
+    """J3 over a table that already holds a later batch: the overwrite leaves its own rows only."""
+    path = shared_dir(spark, "queries", "job_v3")
+    rows = orders_from_tpch(spark, sf_dir)
+    jobs.incremental_append(rows.where(F.col("date") < SPLIT_DAY), path, 7, RUN_TS)
+    out = jobs.pipeline_v3(rows, path, since=SINCE_DAY, hot_keys=["SKEWED_KEY"], salt_buckets=SALT_BUCKETS, run_ts=RUN_TS)
+    return _stored(spark, out, jobs.TARGET_BATCHED)
+
+
+def job_append(spark, sf_dir):
+    """J3, then J4: the v3 table with a later batch appended."""
+    path = shared_dir(spark, "queries", "job_append")
+    rows = orders_from_tpch(spark, sf_dir)
+    first, later = rows.where(F.col("date") < SPLIT_DAY), rows.where(F.col("date") >= SPLIT_DAY)
+    jobs.pipeline_v3(first, path, hot_keys=["SKEWED_KEY"], salt_buckets=SALT_BUCKETS, run_ts=RUN_TS)
+    out = jobs.incremental_append(later, path, 1, RUN_TS)
+    return _stored(spark, out, jobs.TARGET_BATCHED)
+
+
+def _stored(spark, out: jobs.JobResult, schema: T.StructType) -> DataFrame:
+    """A job's table as re-read, with the run timestamp as text and the post-write count."""
+    stored = read_target(spark, out.path, schema)
+    return stored.select(*AGG_COLUMNS, F.date_format("processed_timestamp", "yyyy-MM-dd HH:mm:ss").alias("processed_at"),
+                         F.lit(out.rows).cast("bigint").alias("table_rows"))
+
+
 def append_rollup(spark, sf_dir):
     path = shared_dir(spark, "queries", "append_rollup")
-    _two_batches(spark, sf_dir, path, first_v3=False)
+    _two_batches(spark, sf_dir, path)
     stored = read_target(spark, path, with_field(TARGET, "batch_id", T.LongType()))
     return rollup_totals(stored)
 
@@ -209,7 +279,8 @@ def write_clustered_roundtrip(spark, sf_dir):
 def staged_publish_query(spark, sf_dir):
     target = shared_dir(spark, "queries", "staged_target")
     staging = shared_dir(spark, "queries", "staged_staging")
-    staged_publish(with_run_timestamp(_v(spark, sf_dir), RUN_TS), target, staging, TARGET)
+    expected = _v(spark, sf_dir).count()  # counted apart from the write that it checks
+    staged_publish(with_run_timestamp(_v(spark, sf_dir), RUN_TS), target, staging, TARGET, expected_rows=expected)
     return read_target(spark, target, TARGET).select(*AGG_COLUMNS)
 
 
@@ -217,13 +288,14 @@ def stream_append_rollup(spark, sf_dir):
     inbox = shared_dir(spark, "queries", "stream_inbox")
     target = shared_dir(spark, "queries", "stream_target")
     checkpoint = shared_dir(spark, "queries", "stream_checkpoint")
-    # The inbox keeps the join's own partitioning: one file per task, so the
-    # files (and the stream's batches) grow with the input, not a fixed count.
+    # The inbox keeps the join's own partitioning: one file per task. A batch
+    # takes files up to a byte budget, whatever their number.
     orders_from_tpch(spark, sf_dir).write.mode("overwrite").parquet(inbox)
-    per_trigger = files_per_trigger(spark, inbox, STREAM_BATCHES, max_files=STREAM_MAX_FILES)
-    run_append_stream(orders_stream(spark, inbox, ORDERS, max_files_per_trigger=per_trigger), target, checkpoint)
+    stream = orders_stream(spark, inbox, ORDERS, max_bytes_per_trigger=STREAM_BATCH_BYTES)
+    run_append_stream(stream, target, checkpoint, run_ts=RUN_TS)
     stored = read_target(spark, target, with_field(TARGET, "batch_id", T.LongType()))
-    return rollup_totals(stored)
+    stamp = stored.agg(F.max("processed_timestamp")).scalar()
+    return rollup_totals(stored).withColumn("processed_at", F.date_format(stamp, "yyyy-MM-dd HH:mm:ss"))
 
 
 QUERIES: dict[str, Query] = {
@@ -232,7 +304,16 @@ QUERIES: dict[str, Query] = {
     "agg_collect_list": agg_collect_list,
     "agg_orders": agg_orders,
     "agg_salted_two_phase": agg_salted_two_phase,
+    "agg_subcent": agg_subcent,
+    "agg_subcent_salted": agg_subcent_salted,
+    "agg_orders_by_date": agg_orders_by_date,
+    "write_by_date_roundtrip": write_by_date_roundtrip,
     "incremental_append": incremental_append,
+    "replayed_batch": replayed_batch,
+    "job_v1": job_v1,
+    "job_v2": job_v2,
+    "job_v3": job_v3,
+    "job_append": job_append,
     "append_by_name": append_by_name_query,
     "catalog_append_by_name": catalog_append_by_name,
     "append_rollup": append_rollup,

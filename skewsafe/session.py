@@ -145,13 +145,9 @@ def conf_override(spark: SparkSession, settings: dict[str, str]) -> Iterator[Non
                 spark.conf.set(k, v)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for ``os`` helpers in tests."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["RUNTIME_CONF", "LAUNCH_CONF", "configure_session", "build_session", "listing_conf", "sizing_conf", "shared_dir", "conf_override", "is_local_path", "local_path"]
+__all__ = ["RUNTIME_CONF", "LAUNCH_CONF", "configure_session", "build_session", "listing_conf", "sizing_conf", "shared_dir", "conf_override", "local_path"]

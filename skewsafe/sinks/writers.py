@@ -11,6 +11,7 @@ size and merges small ones, so files stay near the target size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,9 +55,7 @@ def write_partitioned(
     laid = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
     if parts or cluster_by:
         laid = laid.sortWithinPartitions(*parts, *cluster_by)
-    writer = laid.write.format(fmt).mode(mode)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = laid.write.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if parts:
         with conf_override(df.sparkSession, _NO_COALESCE):
             writer.partitionBy(*parts).save(path)
@@ -151,7 +150,7 @@ def insert_by_name(spark: SparkSession, df: DataFrame, table: str, partition_by:
     """
     parts = list(partition_by)
     laid = df.hint("rebalance", *parts).sortWithinPartitions(*parts) if parts else df.hint("rebalance")
-    view = f"_skewsafe_insert_{abs(hash(table))}"
+    view = f"_skewsafe_insert_{uuid.uuid4().hex}"
     laid.createOrReplaceTempView(view)
     try:
         with conf_override(spark, _NO_COALESCE if parts else {}):
@@ -161,14 +160,23 @@ def insert_by_name(spark: SparkSession, df: DataFrame, table: str, partition_by:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ("date",),
-                cluster_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Idempotent append: the batch lands in its own ``batch_id`` partition.
+                cluster_by: Sequence[str] = (), fmt: str = "parquet", stream_id: str | None = None) -> None:
+    """Idempotent append: the batch is the whole ``batch_id`` folder.
 
-    Dynamic overwrite replaces that partition only, so replaying a batch
-    (a retried job, a re-run stream epoch) leaves the table unchanged.
+    The folder is replaced, not merged: after a replay it holds the new rows
+    only, also when they cover fewer days or are none at all. Other batches
+    stay. ``stream_id`` puts the batches of a stream in a folder of their
+    own, so two streams (or a stream and batch jobs) never share a number.
     """
+    folder = f"{path.rstrip('/')}/stream_id={stream_id}" if stream_id is not None else path.rstrip("/")
+    write_partitioned(df, f"{folder}/batch_id={int(batch_id)}", partition_by, cluster_by, fmt, mode="overwrite")
+
+
+def replace_with_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ("date",),
+                       cluster_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """Whole-table overwrite that leaves ``df`` as the only batch of the table."""
     tagged = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-    write_partitioned(tagged, path, ["batch_id", *partition_by], cluster_by, fmt, mode="overwrite", dynamic=True)
+    write_partitioned(tagged, path, ["batch_id", *partition_by], cluster_by, fmt, mode="overwrite")
 
 
 def read_target(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:

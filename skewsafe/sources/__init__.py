@@ -5,7 +5,6 @@ from skewsafe.sources.tables import (
     orders_from_tpch,
     plant_faults,
     preview,
-    read_orders,
     read_staged_batch,
     read_table,
     table_path,
@@ -13,5 +12,5 @@ from skewsafe.sources.tables import (
 
 __all__ = [
     "TABLES", "filter_since", "generate_orders", "orders_from_tpch", "plant_faults",
-    "preview", "read_orders", "read_staged_batch", "read_table", "second_batch", "skewed_orders", "table_path",
+    "preview", "read_staged_batch", "read_table", "second_batch", "skewed_orders", "table_path",
 ]

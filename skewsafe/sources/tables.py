@@ -55,18 +55,20 @@ def orders_from_tpch(
     hot_below: int = 8,
     sample_fraction: float | None = None,
     seed: int = 17,
+    amount: str = "l_extendedprice",
 ) -> DataFrame:
     """Order rows (``ORDERS`` schema) from ``lineitem`` joined to ``orders``.
 
     One row per line item: ``partition_key`` is the hot key when
     ``l_orderkey % hot_mod < hot_below`` (80% by default), else one of 100
     normal keys; customer and product come from ``o_custkey`` and
-    ``l_partkey``; ``amount`` is ``l_extendedprice``; ``date`` is the order
-    day as ``yyyy-MM-dd``.
+    ``l_partkey``; ``amount`` is an expression over the line's price and
+    discount (its price by default); ``date`` is the order day as
+    ``yyyy-MM-dd``.
 
     ``since`` (inclusive) and ``until`` (exclusive) bound ``date``. They are
-    applied to ``o_orderdate`` itself so Parquet skips row groups, and the
-    join lets Spark's runtime filter prune ``lineitem`` as well.
+    applied to ``o_orderdate`` itself so Parquet skips row groups of
+    ``orders``; ``lineitem``, which has no order date, is read whole.
 
     The join is an equi-join of two fact-sized tables on the order key (no
     key is hot there). Spark picks a broadcast only when its size estimate
@@ -78,7 +80,8 @@ def orders_from_tpch(
     the output rows too). It is for estimates such as hot-key detection,
     never for results.
     """
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_extendedprice"])
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_extendedprice", "l_discount"])
+    li = li.select("l_orderkey", "l_partkey", F.expr(amount).alias("_amount"))
     if sample_fraction is not None:
         li = li.sample(fraction=sample_fraction, seed=seed)
     od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
@@ -94,7 +97,7 @@ def orders_from_tpch(
         key.alias("partition_key"),
         F.concat(F.lit(CUSTOMER_PREFIX), (F.col("o_custkey") % CUSTOMERS + 1).cast("string")).alias("customer_id"),
         F.col("l_orderkey").cast("bigint").alias("order_id"),
-        F.col("l_extendedprice").alias("amount"),
+        F.col("_amount").alias("amount"),
         F.concat(F.lit(PRODUCT_PREFIX), (F.col("l_partkey") % PRODUCTS + 1).cast("string")).alias("product"),
         day_string("o_orderdate").alias("date"),
     )
@@ -105,17 +108,6 @@ def filter_since(df: DataFrame, since: str, date_col: str = "date") -> DataFrame
     return df.where(F.col(date_col) >= F.lit(str(since)))
 
 
-def read_orders(
-    spark: SparkSession,
-    path: str,
-    fmt: str = "parquet",
-    since: str | None = None,
-) -> DataFrame:
-    """Scan stored order rows with the fixed ``ORDERS`` schema."""
-    df = spark.read.format(fmt).schema(ORDERS).load(path)
-    return filter_since(df, since) if since is not None else df
-
-
 def read_staged_batch(spark: SparkSession, path: str, arrival: int, schema: T.StructType = ORDERS,
                       fmt: str = "parquet") -> DataFrame:
     """One batch of rows staged by ``sinks.stage_rows`` (a partition filter: only its folder is read)."""

@@ -1,9 +1,11 @@
 """Append stream (T1, T2): order files in, per-batch aggregates out.
 
-Each micro-batch is aggregated on its own and written to its own
-``batch_id`` partition (the epoch id) with dynamic overwrite. If an epoch
-is re-run after a failure, the same partition is rewritten, so the table
-never holds a batch twice. The checkpoint folder must be on shared storage.
+Each micro-batch is aggregated on its own and written to its own folder,
+``stream_id=<id in the checkpoint>/batch_id=<epoch>``, which is replaced as a
+whole. An epoch that is re-run after a failure rewrites the same folder, so
+the table never holds a batch twice; a stream with a new checkpoint has a new
+id, so it never replaces what an earlier one stored. The checkpoint folder
+must be on shared storage.
 
 By default a batch is not split into day folders: a stream writes many
 batches, and batches x days makes many tiny files. Rows are sorted by day
@@ -13,13 +15,15 @@ min/max statistics. Pass ``partition_by=("date",)`` for day folders.
 
 from __future__ import annotations
 
+import datetime as _dt
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from skewsafe.operators.aggregate import aggregate_orders
+from skewsafe.operators.aggregate import aggregate_orders, with_run_timestamp
 from skewsafe.schemas import ORDERS
 from skewsafe.sinks.writers import write_batch
 
@@ -43,17 +47,10 @@ def orders_stream(spark: SparkSession, path: str, schema: T.StructType = ORDERS,
     return reader.load(path)
 
 
-def files_per_trigger(spark: SparkSession, path: str, batches: int, fmt: str = "parquet",
-                      max_files: int | None = None) -> int:
-    """Files per micro-batch so the files now in ``path`` make about ``batches`` batches.
-
-    ``max_files`` caps a batch (then there are more batches), so a large
-    backlog is never taken in one huge micro-batch. Uses the file listing
-    only (no data is read).
-    """
-    files = len(spark.read.format(fmt).load(path).inputFiles())
-    per = max(1, -(-files // max(1, batches)))
-    return min(per, max_files) if max_files else per
+def stream_identity(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint: the same after a restart, new for a new checkpoint."""
+    row = spark.read.text(f"{checkpoint_path.rstrip('/')}/metadata").first()
+    return json.loads(row["value"])["id"]
 
 
 def append_stream(
@@ -66,11 +63,16 @@ def append_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     fmt: str = "parquet",
+    run_ts: _dt.datetime | None = None,
 ) -> StreamingQuery:
-    """Start the stream: ``aggregate`` each batch, write it as batch ``epoch_id``."""
+    """Start the stream: ``aggregate`` each batch, stamp it (P1), write it as batch ``epoch_id`` of this stream."""
+    identity: list[str] = []
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        write_batch(aggregate(batch), target_path, epoch_id, partition_by, cluster_by, fmt=fmt)
+        if not identity:
+            identity.append(stream_identity(batch.sparkSession, checkpoint_path))
+        result = with_run_timestamp(aggregate(batch), run_ts)
+        write_batch(result, target_path, epoch_id, partition_by, cluster_by, fmt, stream_id=identity[0])
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
     if processing_time:

@@ -3,14 +3,15 @@
 import pytest
 
 import __spark_entry__ as E
+from skewsafe.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tools.compare import same_result
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

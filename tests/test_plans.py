@@ -35,7 +35,7 @@ def test_salted_aggregate_is_four_hash_aggregates(spark):
 
 def test_plain_aggregate_has_partial_step(spark):
     text = plan_text(aggregate_orders(orders_from_tpch(spark, SF_SMALL)))
-    assert "partial_sum(cast(rint((amount" in text and "partial_count(1)" in text
+    assert "partial_sum(CASE WHEN" in text and "partial_count(1)" in text
     assert "SortAggregate" not in text
 
 
@@ -104,7 +104,7 @@ def test_totals_from_stored_pages_skip_the_id_lists(spark, scratch):
 
     order_list_pages(orders_from_tpch(spark, SF_SMALL), with_sums=True).write.parquet(scratch)
     schemas = " ".join(read_schemas(totals_from_pages(spark.read.parquet(scratch))))
-    assert "page_cents" in schemas and "order_list" not in schemas
+    assert "page_sum" in schemas and "order_list" not in schemas
 
 
 def test_staged_arrival_reads_only_its_folder(spark, scratch):

@@ -71,7 +71,7 @@ def test_pages_expand_to_the_whole_list(spark, rows, span):
         expected[(r[0], r[1], r[4])].append(r[2])
     got = defaultdict(list)
     for p in order_list_pages(df, page_span=span).orderBy(*KEYS, "list_page").collect():
-        ids = _expand(p["order_list"])
+        ids = _expand(p)
         assert len(ids) == p["order_count"] and all(i // span == p["list_page"] for i in ids)
         got[tuple(p[k] for k in KEYS)].extend(ids)
     assert got == {k: sorted(v) for k, v in expected.items()}

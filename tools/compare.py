@@ -5,14 +5,14 @@ from __future__ import annotations
 import hashlib
 import math
 
-import duckdb
-
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def duck(sf_dir: str):
     """DuckDB connection with one view per driver table."""
+    import duckdb  # only here: digests are also computed where it is not installed
+
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
@@ -36,7 +36,7 @@ def digest(rows, cols, exact: bool = False) -> str:
     return hashlib.sha1("\n".join(lines).encode()).hexdigest()[:16]
 
 
-def same_result(spark_df, con: duckdb.DuckDBPyConnection, sql: str, exact: bool = False) -> tuple[bool, str]:
+def same_result(spark_df, con, sql: str, exact: bool = False) -> tuple[bool, str]:
     """Compare a Spark frame with a DuckDB query; returns (equal, explanation).
 
     ``exact=True`` compares floats bit for bit instead of to 6 digits.
