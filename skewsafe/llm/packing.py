@@ -35,15 +35,19 @@ from skewsafe.llm.tokenizers_cache import UnitCache, hf_tokenizer, slices
 
 CAPACITY = 4096
 ROUNDS = 24
+#: Lengths below this fill gaps after rounding instead of entering the program.
+FILLER = 64
 #: Configurations within this share of the best price are used in a round.
-SLACK = 0.02
-#: Share of the scarcest length's open demand that one configuration covers.
+SLACK = 0.005
+#: Share of its scarcest length's demand that a configuration covers in a round.
 STEP = 0.5
 #: How fast a price falls with the covered share.
 ETA = 2.0
+#: Pieces that best fit places one by one at the end; more are first filled in bulk.
+SINGLE_PIECES = 300_000
 #: A rank block holds about this share of all pieces at most.
 BLOCKS = 1000
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 500_000
 BATCH_CHARS = 8_000_000
 
 
@@ -118,67 +122,75 @@ def token_pieces(
 # --- the configuration linear program ----------------------------------------
 
 
-def _prices_to_best(lengths: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unbounded knapsack: the best value of every capacity, and the index of the length taken first.
+def _prices_to_best(lengths: np.ndarray, price: np.ndarray, capacity: int) -> np.ndarray:
+    """Unbounded knapsack: the best value of every capacity.
 
-    An index of -1 leaves one place empty. Prices stand in an array over all
-    lengths, so each capacity is one contiguous vector addition.
+    Capacities are done in blocks no longer than the shortest length, so a
+    block depends on earlier ones only and is one matrix operation.
     """
+    shortest = int(lengths[0])
+    block = min(shortest, 64)
+    sizes = np.arange(shortest, capacity + 1)
     dense = np.full(capacity + 1, -np.inf)
     dense[lengths] = price
-    index = np.full(capacity + 1, -1, dtype=np.int64)
-    index[lengths] = np.arange(len(lengths))
-    best = np.zeros(capacity + 1)
-    back = np.zeros(capacity + 1)  # back[capacity - room] = best[room]
-    first = np.full(capacity + 1, -1, dtype=np.int64)
-    for room in range(1, capacity + 1):
-        value = dense[1:room + 1] + back[capacity - room + 1:]
-        size = int(value.argmax()) + 1
-        best[room] = best[room - 1]
-        if value[size - 1] > best[room] + 1e-15:
-            best[room], first[room] = value[size - 1], index[size]
-        back[capacity - room] = best[room]
-    return best, first
-
-
-def _configuration(i: int, lengths: np.ndarray, first: np.ndarray, capacity: int) -> Counter:
-    """The best configuration that holds length number ``i``."""
-    items, room = Counter([i]), capacity - int(lengths[i])
-    while room > 0:
-        j = int(first[room])
-        if j >= 0:
-            items[j] += 1
-            room -= int(lengths[j])
-        else:
-            room -= 1
+    dense = dense[shortest:]
+    # padded[capacity + room] = best[room]; no value below room 0.
+    padded = np.full(2 * capacity + 1 + block, -np.inf)
+    best = padded[capacity:2 * capacity + 1]
+    best[0] = 0.0
+    step = padded.strides[0]
+    for room in range(1, capacity + 1, block):
+        n = min(block, capacity + 1 - room)
+        # rests[r, s] = best[room + r - sizes[s]]
+        rests = np.lib.stride_tricks.as_strided(
+            padded[capacity + room - shortest:], (n, len(sizes)), (step, -step), writeable=False
+        )
+        best[room:room + n] = np.maximum.accumulate(np.maximum((rests + dense).max(axis=1), best[room - 1]))
+    return best.copy()
+
+
+def _configuration(
+    i: int, size: np.ndarray, price: np.ndarray, best: np.ndarray, capacity: int
+) -> Counter:
+    """The best priced configuration that holds length number ``i``."""
+    items, room = Counter([i]), capacity - int(size[i])
+    while fits := int(np.searchsorted(size, room, side="right")):
+        j = int((price[:fits] + best[room - size[:fits]]).argmax())
+        items[j] += 1
+        room -= int(size[j])
     return items
 
 
 def solve_lp(
     lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS
 ) -> list[tuple[Counter, float]]:
-    """Fractional configurations (indices into ascending ``lengths``) by multiplicative weights."""
+    """Fractional configurations (indices into ascending ``lengths``) by multiplicative weights.
+
+    Starts from the volume prices ``length / capacity``. In each round every
+    length may lead a configuration, best priced first; one priced near the best
+    covers the share ``STEP`` of what its scarcest length still needs. What the
+    rounds leave open is packed after rounding.
+    """
     covered = np.zeros(len(lengths))
     solution: list[tuple[Counter, float]] = []
+    large = lengths >= min(FILLER, capacity // 4)
     for _ in range(rounds):
-        open_ = np.flatnonzero(covered < 1 - 1e-9)
+        open_ = np.flatnonzero((covered < 1 - 1e-9) & large)
         if not len(open_):
             break
-        size = lengths[open_]
+        size, need = lengths[open_], demand[open_].astype(float)
         price = size / capacity * np.exp(-ETA * covered[open_])
-        best, first = _prices_to_best(size, price, capacity)
+        best = _prices_to_best(size, price, capacity)
         values = price + best[capacity - size]
         for i in np.argsort(-values, kind="stable"):
             if values[i] < (1 - SLACK) * best[capacity]:
                 break
-            config = _configuration(int(i), size, first, capacity)
-            at = open_[list(config)]
+            config = _configuration(int(i), size, price, best, capacity)
+            at = np.fromiter(config, np.int64)
             share = np.fromiter(config.values(), float)
-            limit = float((demand[at] * (1 - covered[at]) / share).min())
-            # A small rest is covered at once, else the last copies would never close.
-            x = limit if limit < 2 else STEP * limit
-            if x > 0:
-                covered[at] = np.minimum(1.0, covered[at] + x * share / demand[at])
+            x = STEP * float((need[at] * (1 - covered[open_[at]]) / share).min())
+            covered[open_[at]] += x * share / need[at]
+            if x > 1e-6:
                 solution.append((Counter({int(open_[k]): n for k, n in config.items()}), x))
     return solution
 
@@ -188,8 +200,7 @@ def round_solution(
 ) -> list[tuple[Counter, int]]:
     """Whole sequences: the LP's copies rounded down, then best fit for what is left.
 
-    Covers every length exactly ``demand`` times. The best-fit part works on the
-    histogram too: a configuration is repeated as often as the rest allows.
+    Covers every length exactly ``demand`` times.
     """
     left = demand.astype(np.int64).copy()
     merged: dict[tuple, float] = {}
@@ -203,17 +214,26 @@ def round_solution(
             out.append((Counter(dict(key)), copies))
             for i, n in key:
                 left[i] -= n * copies
+    out += _bulk_fill(left, lengths, capacity)
+    out += _best_fit(left, lengths, capacity)
+    return out
+
+
+def _bulk_fill(left: np.ndarray, lengths: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
+    """Configurations of the largest lengths that fit, each as often as ``left`` allows, while ``left`` is large.
+
+    Every step uses up a length or nearly so: a few steps per length, however
+    many pieces there are. Takes what it packs out of ``left``.
+    """
+    out: list[tuple[Counter, int]] = []
     at = {int(size): i for i, size in enumerate(lengths)}
     mask = sum(1 << int(lengths[i]) for i in np.flatnonzero(left))
-    while mask:
+    while int(left.sum()) > SINGLE_PIECES:
         config, room, free = Counter(), capacity, mask
         while fits := free & ((1 << (room + 1)) - 1):
             size = fits.bit_length() - 1
             i = at[size]
-            n = min(int(left[i]) - config[i], room // size)
-            # One at a time after the first keeps large pieces from crowding a sequence
-            # that a better fit could close; full multiples are taken when nothing else fits.
-            config[i] += 1 if n > 1 else n
+            config[i] += 1
             room -= size
             if config[i] == left[i]:
                 free &= ~(1 << size)
@@ -226,6 +246,30 @@ def round_solution(
     return out
 
 
+def _best_fit(left: np.ndarray, lengths: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
+    """Best-fit decreasing of the pieces in ``left``, one by one."""
+    contents: list[list[int]] = []
+    open_at: dict[int, list[int]] = {}  # room -> sequences with that room
+    mask = 0
+    for i in range(len(lengths) - 1, -1, -1):
+        size = int(lengths[i])
+        for _ in range(int(left[i])):
+            if fits := mask >> size:
+                room = size + (fits & -fits).bit_length() - 1
+                sequence = open_at[room].pop()
+                if not open_at[room]:
+                    mask &= ~(1 << room)
+            else:
+                room, sequence = capacity, len(contents)
+                contents.append([])
+            contents[sequence].append(i)
+            if room > size:
+                open_at.setdefault(room - size, []).append(sequence)
+                mask |= 1 << (room - size)
+    equal = Counter(map(tuple, contents))
+    return [(Counter(items), copies) for items, copies in equal.items()]
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """The packing plan as arrays, one entry per (length, configuration), by length and rank.
 
@@ -279,6 +323,11 @@ def _place(spark, found: dict[str, np.ndarray]):
     return place
 
 
+def _lookup(table: dict[int, int]) -> Column:
+    """A map literal of longs (a few thousand entries at most)."""
+    return F.create_map(*(F.lit(x).cast("long") for entry in table.items() for x in entry))
+
+
 def pack(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
     """``pieces`` (with ``length`` from 1 to ``capacity``) plus ``sequence_id`` and ``offset``.
 
@@ -294,7 +343,7 @@ def pack(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY, rounds: i
     hot = {size: -(-n // per_block) for size, n in histogram.items() if n > per_block}
     block = F.lit(0)
     if hot:
-        salts = F.create_map(*(F.lit(x).cast("long") for kv in hot.items() for x in kv))
+        salts = _lookup(hot)
         block = F.pmod(F.xxhash64(*keys), F.coalesce(salts[F.col("length")], F.lit(1))).cast("int")
     blocked = pieces.withColumn("_block", block)
 
@@ -309,8 +358,8 @@ def pack(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY, rounds: i
     first = F.lit(0).cast("long")
     if begin:
         places = [(size, b, n) for size, of in begin.items() for b, n in of.items() if b >= 0]
-        known = F.create_map(*(F.lit(x) for s, b, n in places for x in (s * 1_000_000 + b, n)))
-        first = F.coalesce(known[F.col("length") * 1_000_000 + F.col("_block")].cast("long"), first)
+        known = _lookup({s * 1_000_000 + b: n for s, b, n in places})
+        first = F.coalesce(known[F.col("length") * 1_000_000 + F.col("_block")], first)
     within = Window.partitionBy("length", "_block").orderBy(*keys)
     ranked = blocked.withColumn("_rank", first + F.row_number().over(within) - 1)
     place = _place(spark, plan(histogram, capacity, rounds))
