@@ -66,4 +66,30 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled JOIN reputation USING (host)
 """
 
-ORACLE_SQL = {"op8_url_filter": OP8}
+# The checksum's 256 table entries come from its polynomial, eight steps each.
+OP2 = """
+WITH RECURSIVE crc(n, k, c) AS (
+  SELECT n, 0, n FROM (SELECT unnest(range(256)) AS n)
+  UNION ALL
+  SELECT n, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8),
+steps AS (SELECT list(c ORDER BY n) AS step FROM crc WHERE k = 8),
+sized AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, hex(encode(coalesce(text, ''))) AS h
+  FROM documents),
+summed AS (
+  SELECT doc_id, size, xor(4294967295, list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(h, '..'), lambda p: CAST('0x' || p AS BIGINT))),
+      lambda c, b: xor(c >> 8, step[CAST(xor(c & 255, b) AS BIGINT) + 1]))) AS text_crc32
+  FROM sized, steps),
+placed AS (
+  SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
+         sum(size) OVER () AS total
+  FROM summed),
+sharded AS (SELECT *, CAST((2 * pos + size) * 16 // (2 * total) AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM sharded
+"""
+
+ORACLE_SQL = {"op2_sharding": OP2, "op8_url_filter": OP8}

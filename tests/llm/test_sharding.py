@@ -4,6 +4,10 @@ import zlib
 
 from skewsafe.llm import sharding
 
+from skewsafe.llm.registry import op2_sharding
+from skewsafe.llm.sql import ORACLE_SQL
+from tests.conftest import SF_SMALL
+
 from .helpers import ODD_TEXTS, docs, no_docs
 
 
@@ -59,3 +63,10 @@ def test_no_rows(spark):
 def test_plan_has_no_python(spark):
     df = sharding.shard_by_bytes(sharding.sized(docs(spark, ["a", "b"])))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_oracle(spark, duck_small):
+    def keyed(rows):
+        return sorted(tuple(str(v) for v in r) for r in rows)
+
+    assert keyed(op2_sharding(spark, SF_SMALL).collect()) == keyed(duck_small.execute(ORACLE_SQL["op2_sharding"]).fetchall())
