@@ -76,8 +76,8 @@ def sizing_conf(
     ``shuffle.partitions`` starts at about ``shuffle_bytes / target`` (and
     at least three waves of tasks), so no reducer gets more than about
     ``target`` bytes before AQE coalesces the small ones back to the same
-    advisory size. Example: the adapter join at 100 TB shuffles about 18 TB
-    of pruned columns, which gives about 90,000 partitions of about 200 MB.
+    advisory size. Example: the adapter join at 100 TB shuffles about 24 TB
+    of pruned columns, which gives about 125,000 partitions of about 200 MB.
     """
     partitions = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
     return {
