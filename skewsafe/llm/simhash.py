@@ -147,7 +147,9 @@ def near_pairs(fingerprints: DataFrame, max_bits: int = MAX_BITS, hot_entry: int
             index, probes = index.join(hot, "path", "left_semi"), probes.join(hot, "path", "left_semi")
         pairs = (
             cold_probes.select("path", F.col("fp").alias("a"))
-            .join(cold_index.select("path", F.col("fp").alias("b")), "path")
+            # Merge: the planner's size estimate does not see how many rows the balls make,
+            # and would send them to every executor.
+            .join(cold_index.select("path", F.col("fp").alias("b")).hint("merge"), "path")
             .where(near)
             .select("a", "b")
         )
