@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from skewsafe.llm.bpe_text import units
-from skewsafe.llm.tokenizers_cache import UnitCache, hf_tokenizer, slices
+from skewsafe.llm.tokenizers_cache import UnitCache, held, hf_tokenizer, slices
 
 CHUNK, OVERLAP = 16_384, 512
 CACHE_UNITS = 1_000_000
@@ -101,20 +101,18 @@ def token_count(text: Column | str, tokenizer_path: str, chunk: int = CHUNK, ove
     return count(F.col(text) if isinstance(text, str) else text)
 
 
-_caches: dict[str, UnitCache] = {}
-
-
 def _counts(texts: pa.Array, path: str, chunk: int, overlap: int) -> list[int]:
     tokenizer = hf_tokenizer(path)
-    if path not in _caches:
-        _caches[path] = UnitCache(
-            lambda new: map(len, tokenizer.encode_batch_fast(new, add_special_tokens=False)), CACHE_UNITS
-        )
+
+    def lengths(new: list[str]):
+        return map(len, tokenizer.encode_batch_fast(new, add_special_tokens=False))
+
+    memory = held(("token counts", path), lambda: UnitCache(lengths, CACHE_UNITS))
     out: list[int] = []
     for a, b in slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), BATCH_CHARS):
         rows = [s or "" for s in texts.slice(a, b - a).to_pylist()]
         split = [units(s) if len(s) <= chunk else None for s in rows]
-        known = _caches[path].learn(set().union(*(u for u in split if u)))
+        known = memory.learn(set().union(*(u for u in split if u)))
         out += [
             count_spliced(s, tokenizer, chunk, overlap) if u is None else sum(map(known.__getitem__, u))
             for s, u in zip(rows, split)

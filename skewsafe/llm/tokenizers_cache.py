@@ -30,6 +30,21 @@ def rank_encoding(path: str, pattern: str):
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+_held: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]):
+    """The one large memory that this worker process keeps: ``make()`` unless ``key`` already holds it.
+
+    Python workers live on between stages, so without this the memories of
+    several operators would add up in a pipeline.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 class UnitCache:
     """Remembers what ``encode(list of units)`` returned for each unit.
 

@@ -11,8 +11,9 @@ probability from both and only what the classes really differ in counts:
 A word's evidence is the difference of its log-likelihoods. A document is judged
 by length-normalised differences: over all its words, over its strongest 16
 consecutive words, and over its strongest one, two and three words; a logistic
-curve turns them into a score. It is fitted on what each labelled document gets
-from models that were fitted without its part of the sample.
+curve, fitted on labelled rows that the models have not seen, turns them into a
+score. (Models for several folds would use the labels better, but every Python
+worker would hold all of them.)
 
 The models are a classifier fitted on a bounded sample of labelled rows:
 ``TOXIC_SAMPLE`` toxic and ``ORDINARY_SAMPLE`` ordinary documents, chosen by a
@@ -33,18 +34,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from skewsafe.llm.common import staged
-from skewsafe.llm.tokenizers_cache import UnitCache, slices
+from skewsafe.llm.tokenizers_cache import UnitCache, held, slices
 
-TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 3000
+TOXIC_SAMPLE, ORDINARY_SAMPLE = 1000, 2000
 ORDER = 9
 DISCOUNT = 0.75
 ALPHABET = 1 / 200  # probability of any character before anything is known
 WINDOW = 16
 THRESHOLD = 0.3
-CACHE_WORDS = 500_000
-BATCH_CHARS = 8_000_000
-#: Parts of the sample; each is calibrated with models of the others.
-FOLDS = 3
+CACHE_WORDS = 250_000
+BATCH_CHARS = 2_000_000
+#: One labelled row in ``CALIBRATION`` calibrates the score, the others fit the models.
+CALIBRATION = 3
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -142,8 +143,10 @@ def fit(vocabulary: list[str], counts: np.ndarray) -> dict[str, np.ndarray]:
     return model
 
 
-def evidence(some: list[str], model: dict[str, np.ndarray]) -> np.ndarray:
+def evidence(some: list[str], model: dict[str, np.ndarray], at_once: int = 20_000) -> np.ndarray:
     """log P(word | toxic) - log P(word | ordinary) of each word."""
+    if len(some) > at_once:  # bounds the arrays of n-grams
+        return np.concatenate([evidence(some[a:a + at_once], model) for a in range(0, len(some), at_once)])
     if not some:
         return np.zeros(0)
     grams = _Grams.of(some)
@@ -201,37 +204,31 @@ def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
-    """``word, fold, ordinary, toxic``: occurrences in the sample's whole texts by fold and class."""
+    """``word, ordinary, toxic``: occurrences in the sample's whole texts by class."""
 
     def count(batches):
         for batch in batches:
-            found: dict[tuple[str, int], list[int]] = {}
-            for text, toxic, fold in zip(*(c.to_pylist() for c in batch.columns)):
+            found: dict[str, list[int]] = {}
+            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
                 for word in words(text or ""):
-                    found.setdefault((word, fold), [0, 0])[toxic] += 1
+                    found.setdefault(word, [0, 0])[toxic] += 1
             yield pa.RecordBatch.from_pydict(
                 {
-                    "word": pa.array([k[0] for k in found], pa.string()),
-                    "fold": pa.array([k[1] for k in found], pa.int32()),
+                    "word": pa.array(list(found), pa.string()),
                     "ordinary": pa.array([n[0] for n in found.values()], pa.int64()),
                     "toxic": pa.array([n[1] for n in found.values()], pa.int64()),
                 }
             )
 
-    parts = sample.select("text", "toxic", "fold").mapInArrow(count, "word string, fold int, ordinary long, toxic long")
-    return parts.groupBy("word", "fold").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-
-
-_caches: dict[str, UnitCache] = {}
+    parts = sample.select("text", "toxic").mapInArrow(count, "word string, ordinary long, toxic long")
+    return parts.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
 def _document_features(texts: pa.Array, model, name: str):
-    if name not in _caches:
-        _caches.clear()
-        _caches[name] = UnitCache(lambda new: evidence(new, model).tolist(), CACHE_WORDS)
+    memory = held(("toxicity", name), lambda: UnitCache(lambda new: evidence(new, model).tolist(), CACHE_WORDS))
     for a, b in slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), BATCH_CHARS):
         split = [words(t or "") for t in texts.slice(a, b - a).to_pylist()]
-        known = _caches[name].learn(set().union(*split))
+        known = memory.learn(set().union(*split))
         for some in split:
             yield features(np.fromiter(map(known.__getitem__, some), float, len(some)))
 
@@ -283,30 +280,17 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> ToxicityMod
     sample = staged(
         docs.select("doc_id", F.col(text).alias("text"))
         .join(F.broadcast(ids), "doc_id")
-        .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")),
+        .withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(CALIBRATION)) == 0),
         "toxicity-sample",
     )
-    # Sorted, so that every run builds the same tables.
-    counted = sorted(_word_counts(sample).collect())
-    of_fold = np.array([r["fold"] for r in counted], dtype=np.int64)
-    counts = np.array([(r["ordinary"], r["toxic"]) for r in counted], dtype=float).reshape(-1, 2)
-
-    def fitted(use: np.ndarray) -> ToxicityModel:
-        merged: dict[str, np.ndarray] = {}
-        for i in np.flatnonzero(use):
-            word = counted[i]["word"]
-            merged[word] = merged[word] + counts[i] if word in merged else counts[i]
-        tables = fit(list(merged), np.array(list(merged.values())).reshape(-1, 2))
-        return ToxicityModel(spark, tables, np.zeros(FEATURES + 1), uuid.uuid4().hex)
-
-    rows = []
-    for fold in range(FOLDS):
-        others = fitted(of_fold != fold)
-        unseen = sample.where(F.col("fold") == fold).select("doc_id", "toxic", others._features()("text").alias("x"))
-        rows += unseen.collect()
-        others.shared.unpersist()
+    # As columns, not rows: bounded by the sample, but still many words. Sorted,
+    # so that every run builds the same tables.
+    counted = _word_counts(sample.where("not calibrates")).toArrow().sort_by("word")
+    counts = np.column_stack([counted["ordinary"].to_numpy(), counted["toxic"].to_numpy()]).astype(float)
+    tables = fit(counted["word"].to_pylist(), counts)
+    model = ToxicityModel(spark, tables, np.zeros(FEATURES + 1), uuid.uuid4().hex)
+    rows = sample.where("calibrates").select("doc_id", "toxic", model._features()("text").alias("x")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
-    model = fitted(np.ones(len(counted), bool))
     if rows:
         x = np.array([r["x"] for r in rows])
         model.weights = calibrate(x, np.array([r["toxic"] for r in rows], dtype=float))

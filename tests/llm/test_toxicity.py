@@ -87,8 +87,8 @@ def test_held_out_rows_and_accuracy(spark, scored):
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
     held = [(labels[r["doc_id"]], r["predicted"]) for r in scored if r["held_out"] and r["doc_id"] in labels]
     assert sum(p for y, p in held if not y) <= 0.05 * sum(not y for y, _ in held)
-    # 34 toxic documents to learn from.
-    assert sum(p for y, p in held if y) >= 0.6 * sum(y for y, _ in held)
+    # About 23 toxic documents to learn from.
+    assert sum(p for y, p in held if y) >= 0.5 * sum(y for y, _ in held)
 
 
 def test_scores_do_not_depend_on_other_columns(spark):
