@@ -52,4 +52,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, "llm", label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``staged`` table that nothing reads any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.staged_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

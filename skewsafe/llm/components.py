@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewsafe.llm.common import staged
+from skewsafe.llm.common import discard, staged
 
 
 class UnionFind:
@@ -75,7 +75,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = staged(large, "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         down = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(down.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        last, now = now, staged(down.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        discard(last)
+        discard(large)
         before, state = state, _fingerprint(now)
         if state == before:
             break

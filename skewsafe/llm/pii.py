@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skewsafe.llm.common import staged
+from skewsafe.llm.common import discard, staged
 
 # Titles by gender of the person (fixed values).
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "Господин", "Κύριος")
@@ -63,6 +63,8 @@ PATTERNS = {
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![A-Za-z0-9])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Every match of ANY contains a match of this, which is cheaper to look for.
+SIGN = rf"@|\d{{3}}|\d\.\d{{1,3}}\.\d|\+\d|[=:] ?[\"']|(?:{_TITLES})\.? \p{{Lu}}"
 
 _SEP = "\u0001"
 
@@ -257,9 +259,11 @@ def surrogates(entities: DataFrame, secret: str) -> DataFrame:
     # A person of either gender may have a given name that another has too.
     real = staged(real.distinct(), "pii-real")
     open_, settled, attempt = keys, None, 0
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
         drawn = staged(
-            open_.select("key", surrogate(F.col("key"), F.lit(attempt), secret).alias("surrogate")).withColumn(
+            # Drawing is costly and its input small: spread it over the cluster.
+            open_.repartition(tasks, "key").select("key", surrogate(F.col("key"), F.lit(attempt), secret).alias("surrogate")).withColumn(
                 "drawn", F.concat(_class(F.col("key")), F.lit(_SEP), F.col("surrogate"))
             ),
             "pii-drawn",
@@ -268,8 +272,12 @@ def surrogates(entities: DataFrame, secret: str) -> DataFrame:
         if settled is not None:
             owners = owners.join(settled.select("drawn"), "drawn", "left_anti")
         new = drawn.join(owners, ["drawn", "key"], "left_semi").select("key", "surrogate", "drawn")
-        settled = staged(new if settled is None else settled.unionByName(new), "pii-settled")
-        open_ = staged(open_.join(settled, "key", "left_anti"), "pii-open")
+        before, settled = settled, staged(new if settled is None else settled.unionByName(new), "pii-settled")
+        rest = staged(open_.join(settled, "key", "left_anti"), "pii-open")
+        # What this round read and nothing reads again.
+        for table in filter(None, (drawn, before, open_ if attempt else None)):
+            discard(table)
+        open_ = rest
         if open_.isEmpty():
             return settled.select("key", "surrogate")
         attempt += 1
@@ -324,8 +332,9 @@ def with_surrogates(docs: DataFrame, secret: str, text: str = "text") -> DataFra
     """
     row, found, known = (_free(docs, n) for n in ("_row", "_found", "_known"))
     matches = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
+    none = F.array().cast("array<string>")
     marked = staged(
-        docs.withColumn(found, _entities(F.coalesce(matches, F.array().cast("array<string>"))))
+        docs.withColumn(found, F.when(F.col(text).rlike(SIGN), _entities(matches)).otherwise(none))
         .withColumn(row, F.monotonically_increasing_id()),
         "pii-documents",
     )
