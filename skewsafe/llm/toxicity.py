@@ -11,9 +11,9 @@ probability from both and only what the classes really differ in counts:
 A word's evidence is the difference of its log-likelihoods. A document is judged
 by length-normalised differences: over all its words, over its strongest 16
 consecutive words, and over its strongest one, two and three words; a logistic
-curve, fitted on labelled rows that the models have not seen, turns them into a
-score. (Models for several folds would use the labels better, but every Python
-worker would hold all of them.)
+curve turns them into a score. It is fitted on what each labelled document gets
+from models that were fitted without its part of the sample; those models live
+one after the other, so a Python worker holds one at a time.
 
 The models are a classifier fitted on a bounded sample of labelled rows:
 ``TOXIC_SAMPLE`` toxic and ``ORDINARY_SAMPLE`` ordinary documents, chosen by a
@@ -36,7 +36,7 @@ from pyspark.sql.functions import arrow_udf
 from skewsafe.llm.common import staged
 from skewsafe.llm.tokenizers_cache import UnitCache, held, slices
 
-TOXIC_SAMPLE, ORDINARY_SAMPLE = 1000, 2000
+TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 3000
 ORDER = 9
 DISCOUNT = 0.75
 ALPHABET = 1 / 200  # probability of any character before anything is known
@@ -44,8 +44,8 @@ WINDOW = 16
 THRESHOLD = 0.3
 CACHE_WORDS = 250_000
 BATCH_CHARS = 2_000_000
-#: One labelled row in ``CALIBRATION`` calibrates the score, the others fit the models.
-CALIBRATION = 3
+#: Parts of the sample; each is calibrated with models of the others.
+FOLDS = 3
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -204,28 +204,30 @@ def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
-    """``word, ordinary, toxic``: occurrences in the sample's whole texts by class."""
+    """``word, fold, ordinary, toxic``: occurrences in the sample's whole texts by fold and class."""
 
     def count(batches):
         for batch in batches:
-            found: dict[str, list[int]] = {}
-            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
+            found: dict[tuple[str, int], list[int]] = {}
+            for text, toxic, fold in zip(*(c.to_pylist() for c in batch.columns)):
                 for word in words(text or ""):
-                    found.setdefault(word, [0, 0])[toxic] += 1
+                    found.setdefault((word, fold), [0, 0])[toxic] += 1
             yield pa.RecordBatch.from_pydict(
                 {
-                    "word": pa.array(list(found), pa.string()),
+                    "word": pa.array([k[0] for k in found], pa.string()),
+                    "fold": pa.array([k[1] for k in found], pa.int32()),
                     "ordinary": pa.array([n[0] for n in found.values()], pa.int64()),
                     "toxic": pa.array([n[1] for n in found.values()], pa.int64()),
                 }
             )
 
-    parts = sample.select("text", "toxic").mapInArrow(count, "word string, ordinary long, toxic long")
-    return parts.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    parts = sample.select("text", "toxic", "fold").mapInArrow(count, "word string, fold int, ordinary long, toxic long")
+    return parts.groupBy("word", "fold").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
-def _document_features(texts: pa.Array, model, name: str):
-    memory = held(("toxicity", name), lambda: UnitCache(lambda new: evidence(new, model).tolist(), CACHE_WORDS))
+def _document_features(texts: pa.Array, shared, name: str):
+    # The broadcast is read when the memory of the model before is gone.
+    memory = held(("toxicity", name), lambda: UnitCache(lambda new: evidence(new, shared.value).tolist(), CACHE_WORDS))
     for a, b in slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), BATCH_CHARS):
         split = [words(t or "") for t in texts.slice(a, b - a).to_pylist()]
         known = memory.learn(set().union(*split))
@@ -245,7 +247,7 @@ class ToxicityModel:
 
         @arrow_udf("array<double>")
         def found(texts: pa.Array) -> pa.Array:
-            return pa.array(list(_document_features(texts, shared.value, name)), pa.list_(pa.float64()))
+            return pa.array(list(_document_features(texts, shared, name)), pa.list_(pa.float64()))
 
         return found
 
@@ -255,7 +257,7 @@ class ToxicityModel:
 
         @arrow_udf("double")
         def scored(texts: pa.Array) -> pa.Array:
-            x = np.array(list(_document_features(texts, shared.value, name))).reshape(-1, FEATURES)
+            x = np.array(list(_document_features(texts, shared, name))).reshape(-1, FEATURES)
             raw = x @ weights[:-1] + weights[-1]
             return pa.array(1 / (1 + np.exp(-np.clip(raw, -30, 30))), pa.float64())
 
@@ -280,16 +282,34 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> ToxicityMod
     sample = staged(
         docs.select("doc_id", F.col(text).alias("text"))
         .join(F.broadcast(ids), "doc_id")
-        .withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(CALIBRATION)) == 0),
+        .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")),
         "toxicity-sample",
     )
     # As columns, not rows: bounded by the sample, but still many words. Sorted,
     # so that every run builds the same tables.
-    counted = _word_counts(sample.where("not calibrates")).toArrow().sort_by("word")
-    counts = np.column_stack([counted["ordinary"].to_numpy(), counted["toxic"].to_numpy()]).astype(float)
-    tables = fit(counted["word"].to_pylist(), counts)
-    model = ToxicityModel(spark, tables, np.zeros(FEATURES + 1), uuid.uuid4().hex)
-    rows = sample.where("calibrates").select("doc_id", "toxic", model._features()("text").alias("x")).collect()
+    counted = _word_counts(sample).toArrow().combine_chunks().sort_by([("word", "ascending"), ("fold", "ascending")])
+    vocabulary = counted["word"].combine_chunks().dictionary_encode()
+    counts = np.zeros((len(vocabulary.dictionary), FOLDS, 2))
+    for c, name in enumerate(("ordinary", "toxic")):
+        np.add.at(counts[:, :, c], (vocabulary.indices.to_numpy(), counted["fold"].to_numpy()), counted[name].to_numpy())
+    vocabulary = vocabulary.dictionary
+    del counted
+
+    def fitted(folds: list[int]) -> ToxicityModel:
+        n = counts[:, folds].sum(axis=1)
+        some = n.any(axis=1)
+        tables = fit(vocabulary.filter(pa.array(some)).to_pylist(), n[some])
+        return ToxicityModel(spark, tables, np.zeros(FEATURES + 1), uuid.uuid4().hex)
+
+    rows = []
+    for fold in range(FOLDS):
+        others = fitted([f for f in range(FOLDS) if f != fold])
+        unseen = sample.where(F.col("fold") == fold).select("doc_id", "toxic", others._features()("text").alias("x"))
+        rows += unseen.collect()
+        # Neither the driver nor an executor keeps this model while the next one is there.
+        others.shared.destroy()
+        del others, unseen
+    model = fitted(list(range(FOLDS)))
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
     if rows:
         x = np.array([r["x"] for r in rows])

@@ -87,8 +87,18 @@ def test_held_out_rows_and_accuracy(spark, scored):
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
     held = [(labels[r["doc_id"]], r["predicted"]) for r in scored if r["held_out"] and r["doc_id"] in labels]
     assert sum(p for y, p in held if not y) <= 0.05 * sum(not y for y, _ in held)
-    # About 23 toxic documents to learn from.
-    assert sum(p for y, p in held if y) >= 0.5 * sum(y for y, _ in held)
+    # 34 toxic documents to learn from.
+    assert sum(p for y, p in held if y) >= 0.6 * sum(y for y, _ in held)
+
+
+def test_the_models_learn_from_the_whole_sample(spark):
+    """1500 toxic and 3000 ordinary documents, each with a word of its own: every word is in the final model."""
+    texts = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(4500)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(4500)], "doc_id long, quality int, toxic int")
+    tables = toxicity.train(docs(spark, texts), labels).shared.value
+    grams = toxicity._Grams.of(texts)
+    ends = grams.starts + 5  # start mark, four letters, end mark
+    assert np.isin(grams.key(6, ends), tables["top"]).all()
 
 
 def test_scores_do_not_depend_on_other_columns(spark):
