@@ -73,6 +73,24 @@ def test_recall_at_the_threshold_with_many_cells():
     assert len(centres) - hubs > 200 and met.mean() >= 0.9
 
 
+def test_a_wide_group_over_many_cells_is_searched_whole(spark, monkeypatch):
+    """A third of all vectors at cosine 0.95 to a centre, in far more cells than probes: no hub, most pairs linked."""
+    monkeypatch.setattr(embeddings, "PER_CELL", 10)
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(2400, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    vectors = np.concatenate([points[:1600], around(rng, points[0], 0.95, 800)]).astype(np.float32).astype(float)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    centres, hubs = embeddings.fit_index(unit, len(unit))
+    home = embeddings.assign(unit, centres, hubs)[0]
+    assert not hubs and len(set(home[1600:])) > 3 * embeddings.PROBES
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(table(spark, list(enumerate(vectors)))).collect()}
+    assert want.sum() > 200_000
+    assert all(got[i] <= n for i, n in enumerate(want))
+    assert sum(got.values()) >= 0.99 * want.sum()
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(3)
     x, q = rng.normal(size=(2, 4000, 64))
