@@ -161,10 +161,12 @@ def near_pairs(fingerprints: DataFrame, max_bits: int = MAX_BITS, hot_entry: int
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row: documents linked by chains of near fingerprints.
+    """``doc_id, fp, root, component_id`` of every row: documents linked by chains of near fingerprints.
 
-    ``docs`` has ``doc_id`` and ``fp``. ``component_id`` is the smallest id of the
-    component (null ids do not count; a component of null ids only has null).
+    ``docs`` has ``doc_id`` and ``fp``. ``root`` is a fingerprint of the component
+    and tells components apart; ``component_id`` is the smallest id of the
+    component (null ids do not count; a component of null ids only has null),
+    which two components share where one id occurs in both.
     """
     distinct = staged(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     roots = staged(connected_components(near_pairs(distinct.select("fp"), max_bits)), "roots")
@@ -172,8 +174,8 @@ def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     least = of.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = of.join(least, "root").select("fp", "component_id")
-    return docs.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = of.join(least, "root").select("fp", "root", "component_id")
+    return docs.join(ids, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, text: str = "text") -> DataFrame:
@@ -201,12 +203,12 @@ def deduplicated(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BI
         name += "_"
     rows = staged(docs.withColumn(name, fingerprint(text, shingle)), "docs-fingerprints")
     found = staged(components(rows.select("doc_id", F.col(name).alias("fp")), shingle, max_bits), "components")
-    # Several fingerprints of a component may carry its smallest id: one is chosen.
+    # Several fingerprints of a component may carry its smallest id, or all ids may be null: one is chosen.
     keep = (
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_null_fp"))
-        .agg(F.min("fp").alias("_keep_fp"))
-        .select(F.col("component_id").alias("_keep_id"), "_keep_fp")
+        .groupBy("root")
+        .agg(F.min(F.struct("doc_id", "fp")).alias("_keep"))
+        .select(F.col("_keep.doc_id").alias("_keep_id"), F.col("_keep.fp").alias("_keep_fp"))
     )
     kept = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col(name) == F.col("_keep_fp")), "left_semi")
     # Repeated rows of one id: the row filter below is applied before the shuffle too.

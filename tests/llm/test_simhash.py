@@ -79,6 +79,18 @@ def test_repeated_and_null_ids(spark):
     ]
 
 
+def test_one_row_of_each_component_for_shared_and_null_ids(spark):
+    texts = near_texts(60, 8)
+    prints = [brute_fingerprint(t) for t in texts]
+    groups = brute_components(range(60), prints)
+    assert len(set(groups)) < len(set(prints))  # near copies with different fingerprints
+    # One id in all components, null ids only, and both.
+    for ids in ([1] * 60, [None] * 60, [None if i % 3 else i % 2 for i in range(60)]):
+        df = docs(spark, texts, ids)
+        kept = [r["text"] for r in simhash.deduplicated(df).collect()]
+        assert sorted(groups[texts.index(t)] for t in kept) == sorted(set(groups))
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(no_docs(spark)).count() == 0
     assert simhash.deduplicated(no_docs(spark)).count() == 0
