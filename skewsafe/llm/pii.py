@@ -50,17 +50,22 @@ SYLLABLES = {
     "greek": ("βα", "γερ", "δαν", "θεο", "καλ", "λεο", "μαρ", "νικ", "παν", "ραλ", "σταμ", "τριαν", "φιλ", "χρισ", "ανδρ", "οικ"),
 }
 
+LETTERS = {"latin": "ABCDEFGHIJKLMNOPRSTUVWZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФ", "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΟΠΡΣΤΦΧ"}
+
 _TITLES = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
-_NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
+_END = r"(?![\p{L}\p{N}])"
+#: A name of two letters or more (initials may touch it) or initials with dots; single letters may stand before either.
+_NAME = rf"(?:\p{{Lu}} )*+(?:(?:\p{{Lu}}\.)*+\p{{Lu}}[\p{{L}}'’-]*\p{{L}}|(?:\p{{Lu}}\.)++){_END}"
+_INITIALS = r"^\p{Lu}(?:\.\p{Lu})*\.?$"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?:token|secret|password|passwd|api_?key) ?[=:] ?[\"'][^\"'\s]{8,200}[\"']",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}(?![\p{{L}}\p{{N}}])",
+    "secret": r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api_?key)[\"']? ?[=:] ?[\"'][^\"'\s]{8,}+[\"']",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_NAME}(?: {_NAME})*+",
     "ipv4": r"(?<![A-Za-z0-9.])(?:\d{1,3}\.){3}\d{1,3}(?![A-Za-z0-9]|\.\d)",
     "card": r"(?<![A-Za-z0-9.])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![A-Za-z0-9])",
     "ssn": r"(?<![A-Za-z0-9-])\d{3}-\d{2}-\d{4}(?![A-Za-z0-9-])",
     "phone": r"(?<![A-Za-z0-9+])(?:\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}"
-    r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![A-Za-z0-9])",
+    r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4})(?![A-Za-z0-9])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Every match of ANY contains a match of this, which is cheaper to look for.
@@ -94,24 +99,28 @@ def _gender(match: Column) -> Column:
 
 
 def _names(match: Column) -> Column:
-    """The words after the title."""
-    return F.slice(F.split(match, " "), F.lit(2), F.lit(3))
+    """All words after the title."""
+    words = F.split(match, " ")
+    return F.slice(words, F.lit(2), F.size(words) - 1)
 
 
 def _name_keys(match: Column) -> Column:
-    """Entity keys of the names of a match: the last is the family name, the others are given names."""
+    """Entity keys of the names of a match: the last is the family name, the others are given names; initials are their own kind."""
     words = _names(match)
-    return F.transform(
-        words,
-        lambda w, i: F.concat(F.when(i == F.size(words) - 1, "family").otherwise(F.concat(F.lit("given_"), _gender(match))), F.lit(_SEP), w),
-    )
+
+    def of(w: Column, i: Column) -> Column:
+        kind = F.when(i == F.size(words) - 1, "family").otherwise(F.concat(F.lit("given_"), _gender(match)))
+        initials = F.concat(F.lit("initials" + _SEP), F.regexp_replace(w, r"\.$", ""))
+        return F.when(w.rlike(_INITIALS), initials).otherwise(F.concat(kind, F.lit(_SEP), w))
+
+    return F.transform(words, of)
 
 
 def _key(kind: Column, match: Column) -> Column:
     """Entity key ``kind, canonical form`` of a match that is one entity."""
     number = _digits(match)
     national = F.when((F.length(number) == 11) & number.startswith("1"), F.substring(number, 2, 10)).otherwise(number)
-    inner = F.regexp_extract(match, r"[\"']([^\"'\s]*)[\"']", 1)
+    inner = F.regexp_extract(match, r"[\"']([^\"'\s]*)[\"']$", 1)
     value = (
         F.when(kind == "email", F.lower(match)).when(kind == "phone", national).when(kind.isin("card", "ssn"), number)
         .when(kind == "secret", inner).otherwise(match)
@@ -230,6 +239,11 @@ def surrogate(key: Column, attempt: Column, secret: str) -> Column:
     for name, syllables in SYLLABLES.items():
         whole = F.initcap(_several(syllables, stream, 3 + attempt, ""))
         family = F.when(script == name, whole).otherwise(family)
+    initials = F.lit("")
+    for name, letters in LETTERS.items():
+        # As many as there were, one more for each attempt.
+        whole = _several(tuple(letters), stream, F.ceil((F.length(value) + 1) / 2).cast("int") + attempt, ".")
+        initials = F.when(script == name, whole).otherwise(initials)
     for (name, g), options in GIVEN.items():
         # Double names once the single ones are taken, and so on.
         given = F.when((script == name) & (gender == g), _several(options, stream, 1 + attempt, "-")).otherwise(given)
@@ -237,7 +251,7 @@ def surrogate(key: Column, attempt: Column, secret: str) -> Column:
     return (
         F.when(kind == "email", email).when(kind == "ipv4", ipv4).when(kind == "card", card).when(kind == "phone", phone)
         .when(kind == "secret", secret_value).when(kind == "family", family).when(kind.startswith("given_"), given)
-        .otherwise(shaped)
+        .when(kind == "initials", initials).otherwise(shaped)
     )
 
 
@@ -306,9 +320,12 @@ def _rendered(match: Column, known: Column) -> Column:
     kind = _kind(match)
     given = known[_key(kind, match)]
     title = F.split_part(match, F.lit(" "), F.lit(1))
-    names = F.array_join(F.transform(_name_keys(match), lambda k: known[k]), " ")
+    names = F.array_join(
+        # Initials keep their last dot.
+        F.zip_with(_names(match), _name_keys(match), lambda w, k: F.concat(known[k], F.when(w.endswith("."), ".").otherwise(""))), " "
+    )
     quoted = F.concat(
-        F.regexp_extract(match, r"^(.*?[\"'])", 1), given, F.substring(match, -1, 1)
+        F.regexp_extract(match, r"^(.*[\"'])[^\"'\s]*[\"']$", 1), given, F.substring(match, -1, 1)
     )
     return (
         F.when(kind.isNull(), match).when(kind == "name", F.concat(title, F.lit(" "), names))

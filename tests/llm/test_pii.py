@@ -52,6 +52,34 @@ def test_names_keep_gender_script_and_title(spark):
     assert re.fullmatch(r"Frau [A-Z][a-z]+", out[3]) and out[3] != "Frau Müller"
 
 
+def test_nothing_is_left_of_long_or_unusual_entities(spark):
+    jwt = "eyJhbGciOi." + "Ab3_" * 300 + ".c2lnbmF0dXJl"
+    cases = [  # text, what must be gone, the shape of the result
+        (f'token = "{jwt}" end', [jwt[:40], jwt[-40:]], r'token = "[\w.]{%d}" end' % len(jwt)),
+        ('API_KEY="abcdefgh1234"', ["abcdefgh1234"], r'API_KEY="[a-z]{8}\d{4}"'),
+        ('{"token":"abcdefgh1234", "Password": "secret.word"}', ["abcdefgh1234", "secret.word"],
+         r'\{"token":"[a-z]{8}\d{4}", "Password": "[a-z]{6}\.[a-z]{4}"\}'),
+        ("Señora María José García López lives", ["María", "José", "García", "López"], r"Señora(?: \S+){4} lives"),
+        ("Mr. John Q. Smith and Mr. John Q Smith left", ["John", "Q.", "Smith"],
+         r"Mr\. (\S+) (\w(?:\.\w)*)\. (\S+) and Mr\. \1 \2 \3 left"),
+        ("Dr. J.R. Smith. I know Dr. Jones2 or Mr. Ann Lee2", ["J.R.", "Smith", "Ann"],
+         r"Dr\. (?:\w\.){2,} \S+\. I know Dr\. Jones2 or Mr\. \S+ Lee2"),
+        ("Mr. " + "Abcd " * 3000 + "x", ["Abcd"], r"Mr\. (?:[\w-]+ ){3000}x"),
+        ("Ms. Berg I Kn2 and Mr. K. B. Lind", ["Berg", "Lind"], r"Ms\. [A-Z]\w+ I Kn2 and Mr\. (?:\w\.)+ (?:\w\.)+ [A-Z]\w+"),
+        ("call 555 123 4567 or 1 555 123 4567 or 555-123-4567", ["555 123", "123 4567", "123-4567"],
+         r"call (\d{3}) (\d{3}) (\d{4}) or 1 \1 \2 \3 or \1-\2-\3"),
+    ]
+    for (text, gone, shape), out in zip(cases, replaced(spark, [text for text, _, _ in cases])):
+        assert re.fullmatch(shape, out) and not any(g in out for g in gone), (text[:80], out[:200])
+
+
+def test_more_initials_than_letters(spark):
+    keys = [f"initials{pii._SEP}{a}" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"] + [f"initials{pii._SEP}A.{a}" for a in "BCD"]
+    rows = pii.surrogates(spark.createDataFrame([(k,) for k in keys], "key string"), "k").collect()
+    drawn = {r["surrogate"] for r in rows}
+    assert len(rows) == len(drawn) == len(keys) and not drawn & {k.split(pii._SEP)[1] for k in keys}
+
+
 @pytest.mark.parametrize(
     "text",
     ["4111111111111112", "300.1.2.3", "1.2.3.4.5", "04dbe4111111111111111", "a 123 b 2024-01-02", "mrs smith", "@home", "v1.2.3", "x@y"],
