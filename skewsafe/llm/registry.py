@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewsafe.llm import bpe, embeddings, nnls_packing, packing, pii, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
+from skewsafe.llm import bpe, embeddings, filter_audit, nnls_packing, packing, pii, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
 from skewsafe.llm.common import table
 
 # Production parameters.
@@ -79,6 +79,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of the five filters over all documents, by part."""
+    return filter_audit.audit_filters(spark, f"{sf_dir.rstrip('/')}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 def op12_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens by non-negative least squares."""
     return nnls_packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER))
@@ -95,6 +100,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_filter_audit": op11_filter_audit,
     "op12_nnls_packing": op12_nnls_packing,
 }
 

@@ -92,4 +92,47 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, s
 FROM sharded
 """
 
-ORACLE_SQL = {"op2_sharding": OP2, "op8_url_filter": OP8}
+OP11 = """
+WITH known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM docs GROUP BY 1),
+fails AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n,
+         len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d, coalesce(first < doc_id, false) AS e
+  FROM docs JOIN firsts USING (text) LEFT JOIN known USING (doc_id) GROUP BY ALL),
+cells AS (
+  SELECT part, good, toxic, n, (CASE WHEN a THEN 1 ELSE 0 END) + (CASE WHEN b THEN 2 ELSE 0 END) + (CASE WHEN c THEN 4 ELSE 0 END)
+         + (CASE WHEN d THEN 8 ELSE 0 END) + (CASE WHEN e THEN 16 ELSE 0 END) AS mask
+  FROM fails),
+letters AS (SELECT chr(65 + CAST(i AS INTEGER)) AS f, CAST(pow(2, i) AS BIGINT) AS bit FROM range(5) r(i)),
+orders_ AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, CAST(i AS INTEGER) AS step, bit,
+         (SELECT coalesce(sum(l.bit), 0) FROM letters l WHERE position(l.f IN filter_order) < i)::BIGINT AS before
+  FROM orders_, range(1, 6) r(i), letters WHERE f = substr(filter_order, i, 1)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 AND good = 1 THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 AND toxic = 1 THEN n ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
+ORACLE_SQL = {"op2_sharding": OP2, "op8_url_filter": OP8, "op11_filter_audit": OP11}
