@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewsafe.llm import bpe, embeddings, filter_audit, nnls_packing, packing, pii, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
+from skewsafe.llm import bpe, embeddings, filter_audit, nnls_packing, packing, phrases, pii, quality, sharding, simhash, sql, token_counts, toxicity, url_filter
 from skewsafe.llm.common import table
 
 # Production parameters.
@@ -89,6 +89,11 @@ def op12_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nnls_packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language over all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sharding": op2_sharding,
@@ -102,6 +107,7 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_filter_audit": op11_filter_audit,
     "op12_nnls_packing": op12_nnls_packing,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {**sql.ORACLE_SQL}

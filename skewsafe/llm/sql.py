@@ -135,4 +135,35 @@ SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS remove
 FROM counted
 """
 
-ORACLE_SQL = {"op2_sharding": OP2, "op8_url_filter": OP8, "op11_filter_audit": OP11}
+OP13 = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, row_number() OVER () AS p, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
+words AS (SELECT lang, p, unnest(w) AS w1, unnest(range(1, len(w) + 1)) AS i FROM worded),
+near AS (SELECT lang, w1, lead(w1, 1) OVER (PARTITION BY p ORDER BY i) AS w2, lead(w1, 2) OVER (PARTITION BY p ORDER BY i) AS w3 FROM words),
+grams AS (
+  SELECT lang, 1 AS k, w1 AS g FROM near
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM near WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM near WHERE w3 IS NOT NULL),
+counts AS (SELECT lang, k, g, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL),
+cand AS (SELECT lang, k, g, f AS a FROM counts WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.g, c.a, j AS cut, l.f AS l, r.f AS r, 1000000 * c.a * c.a // (l.f * r.f) AS score
+  FROM cand c JOIN (SELECT unnest([1, 2]) AS j) ON j < c.k
+  JOIN counts l ON l.lang = c.lang AND l.g = array_to_string(string_split(c.g, ' ')[1:j], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.g = array_to_string(string_split(c.g, ' ')[j + 1:c.k], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, part AS g, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(string_split(g, ' ')[1:2], ' '), array_to_string(string_split(g, ' ')[2:3], ' ')]) AS part
+    FROM cand WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT s.* FROM scored s LEFT JOIN longer USING (lang, g) WHERE longer IS NULL OR 100 * longer < 50 * a),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) AS rank, g AS phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE_SQL = {"op2_sharding": OP2, "op8_url_filter": OP8, "op11_filter_audit": OP11, "op13_phrases": OP13}
