@@ -122,11 +122,16 @@ def edges(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
 def flows(weighted: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``kind, lang, node, next, n``: frequent edges (``edge``), frequent pairs (``pair``) and all words (``word``)."""
     # One exchange, by node, for all three sums; the words' sums need a second, small one.
+    # What a sum leaves out is left out inside it: a filter, or a column that is not
+    # read, would be moved below the exchange, and the three would no longer share it.
     dealt = weighted.repartition("lang", "node")
-    total = F.sum("n").alias("n")
-    edge = dealt.where("next != ''").groupBy("lang", "node", "next").agg(total)
-    pair = dealt.where("node LIKE '% %'").groupBy("lang", "node").agg(total)
-    word = dealt.groupBy("lang", F.substring_index("node", " ", 1).alias("node")).agg(total)
+
+    def total(which: str) -> Column:
+        return F.sum(F.when(F.expr(which), F.col("n")).otherwise(0)).alias("n")
+
+    edge = dealt.groupBy("lang", "node", "next").agg(total("next != ''"))
+    pair = dealt.groupBy("lang", "node").agg(total("next IS NOT NULL AND node LIKE '% %'"))
+    word = dealt.groupBy("lang", F.substring_index("node", " ", 1).alias("node")).agg(total("next IS NOT NULL"))
     columns = ["kind", "lang", "node", "next", "n"]
     return reduce(DataFrame.unionByName, (
         edge.where(F.col("n") >= min_count).withColumn("kind", F.lit("edge")).select(columns),
