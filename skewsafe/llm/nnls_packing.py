@@ -404,7 +404,8 @@ def pack(pieces: DataFrame, window: int = WINDOW, depth: int = DEPTH, gap: float
     whole = F.col("part_length") == F.col("_whole")
     known = pieces.drop("ids", "length")
     uncut = parts.where(whole).join(known, "uid")
-    cut = parts.where(~whole).join(pieces.select("uid", "ids"), "uid")
+    # Few parts are cut: as a table of their own, Spark knows their size and need not move the ids.
+    cut = staged(parts.where(~whole), "nnls-cut").join(pieces.select("uid", "ids").where("ids IS NOT NULL"), "uid")
     cut = cut.select(*parts.columns, _crc_of("ids", "part_start", "part_length").alias("_crc"))
     cut = cut.join(known, "uid").withColumn("ids_crc32", F.col("_crc")).drop("_crc")
     return uncut.unionByName(cut).select(

@@ -110,26 +110,27 @@ def _without_case_and_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarr
     wide = letter.copy()
     wide[1:] |= second
     wide[:-1] |= second
-    others = np.concatenate([[0], np.cumsum(~wide)])
+    others = _before(~wide)
     last = data[ends - 1]
     body = ends - ((last == 0x2E) | (last == 0x2C))
     plain = (others[body] == others[starts]) & (body > starts)
     marked = plain & (body < ends)
     at = np.flatnonzero(marked) + 1
     new_starts, new_ends = np.insert(starts, at, body[marked]), np.insert(np.where(marked, body, ends), at, ends[marked])
-    ascii_before = np.concatenate([[0], np.cumsum(~letter)])
-    fold = np.repeat(plain & (ascii_before[body] == ascii_before[starts]), ends - starts)
-    data = data.copy()
-    within = _positions(starts, ends)
-    chosen = within[fold]
-    data[chosen] = np.where(letter[chosen], low[chosen], data[chosen])
-    return data, new_starts, new_ends
-
-
-def _positions(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    size = ends - starts
-    done = np.cumsum(size)
-    return np.repeat(starts - (done - size), size) + np.arange(done[-1])
+    ascii_before = _before(~letter)
+    fold = plain & (ascii_before[body] == ascii_before[starts])
+    turns = np.zeros(len(data) + 1, np.int8)  # +1 where a word to fold begins, -1 where it ends
+    turns[starts[fold]] += 1
+    turns[body[fold]] -= 1
+    inside = np.cumsum(turns[:-1], dtype=np.int8).view(bool)
+    return np.where(inside, low, data), new_starts, new_ends
+
+
+def _before(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place, and in all."""
+    out = np.zeros(len(flags) + 1, np.int32 if len(flags) < 2**31 else np.int64)
+    np.cumsum(flags, out=out[1:])
+    return out
 
 
 def _slice_ids(texts: pa.Array, memory: _WordIds) -> tuple[np.ndarray, np.ndarray]:
