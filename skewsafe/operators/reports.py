@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skewsafe.functions.columns import distinct_count, exact_avg, money_sum
+from skewsafe.operators.exact import exact_totals
 from skewsafe.operators.skew import key_distribution
 
 
@@ -48,15 +49,21 @@ def daily_metrics(v: DataFrame, with_avg: bool | str = True, approx: bool = Fals
     """Per day: distinct customers, revenue, mean of group averages (J5e).
 
     ``avg_order_value`` averages the groups' ``avg_amount`` unweighted, as
-    the reference does; ``true_avg_order_value`` (``with_avg='both'``) is
+    the reference does: the exact sum of the unrounded quotients, rounded once,
+    over their number; ``true_avg_order_value`` (``with_avg='both'``) is
     revenue over orders. ``approx=True`` counts customers with HyperLogLog++.
     """
     aggs = [
         distinct_count("customer_id", approx).alias("unique_customers"),
         money_sum("total_amount").alias("daily_revenue"),
     ]
-    if with_avg:
-        aggs.append(exact_avg("avg_amount", "decimal(18,6)").alias("avg_order_value"))
     if with_avg == "both":
         aggs.append((F.sum("total_amount") / F.sum("order_count")).alias("true_avg_order_value"))
-    return v.groupBy("date").agg(*aggs).orderBy("date")
+    daily = v.groupBy("date").agg(*aggs)
+    if with_avg:
+        # Days, not groups, are joined; both sides read the same exchange of the groups.
+        means = exact_totals(v, ["date"], "avg_amount", extra={"_n": (F.count("avg_amount"), "sum")})
+        means = means.select(F.col("date").alias("_date"), (F.col("total") / F.col("_n")).alias("avg_order_value"))
+        daily = daily.join(means, F.col("date").eqNullSafe(F.col("_date"))).drop("_date")
+    columns = [c for c in ("date", "unique_customers", "daily_revenue", "avg_order_value", "true_avg_order_value") if c in daily.columns]
+    return daily.select(*columns).orderBy("date")

@@ -80,7 +80,31 @@ def _job(source: str) -> str:
             f"FROM {source}")
 
 
+def exact_sum(expr: str, scale: int) -> str:
+    """SQL of the DOUBLE nearest to the exact sum of DOUBLEs that are multiples of 2^-scale.
+
+    Adds 128-bit integers; of a sum of more than 62 bits the upper ones are kept and
+    the lowest of them is set when anything is cut off, so the cast rounds once.
+    """
+    total = f"SUM(CAST({expr} * pow(2, {scale}) AS HUGEINT))"
+    cut = f"CAST(pow(2, CAST(ceil(log2(CAST(abs({total}) AS DOUBLE))) AS INTEGER) - 61) AS HUGEINT)"
+    upper = f"abs({total}) // {cut}"
+    odd = f"CASE WHEN ({upper}) % 2 = 0 AND abs({total}) % {cut} <> 0 THEN 1 ELSE 0 END"
+    return (f"CASE WHEN abs({total}) < 4611686018427387904 THEN CAST(CAST({total} AS BIGINT) AS DOUBLE) "
+            f"ELSE sign({total}) * CAST(CAST({upper} + {odd} AS BIGINT) AS DOUBLE) * CAST({cut} AS DOUBLE) END / pow(2, {scale})")
+
+
+# Amounts from about 2^-21 to 2^27 of both signs, all bits of the price kept.
+WIDE_AMOUNT = ("l_extendedprice * CASE l_orderkey % 3 WHEN 0 THEN CAST(1 AS DOUBLE) / 1073741824 WHEN 1 THEN CAST(1 AS DOUBLE) "
+               "ELSE CAST(1024 AS DOUBLE) END * CASE WHEN l_partkey % 2 = 0 THEN -1 ELSE 1 END")
+WIDE = f"""WITH t AS ({CTE_T.replace("l_extendedprice AS amount", WIDE_AMOUNT + " AS amount")}),
+v AS (SELECT partition_key, customer_id, product, {exact_sum('amount', 76)} AS total_amount, COUNT(*) AS order_count, MIN(date) AS date
+      FROM t GROUP BY partition_key, customer_id, product)
+SELECT *, total_amount / order_count AS avg_amount FROM v"""
+
 ORACLE_SQL: dict[str, str] = {
+    "agg_wide_range": WIDE,
+    "agg_wide_range_salted": WIDE,
     "agg_subcent": SUBCENT,
     "agg_subcent_salted": SUBCENT,
     "agg_orders_by_date": BY_DATE,
@@ -122,7 +146,7 @@ ORACLE_SQL: dict[str, str] = {
     "FROM v GROUP BY customer_id ORDER BY total_spent DESC, customer_id LIMIT 10",
     "daily_metrics": _with(T, V)
     + "SELECT date, COUNT(DISTINCT customer_id) AS unique_customers, ROUND(SUM(total_amount), 2) AS daily_revenue, "
-    "CAST(SUM(CAST(avg_amount AS DECIMAL(18,6))) AS DOUBLE) / COUNT(avg_amount) AS avg_order_value "
+    f"{exact_sum('avg_amount', 60)} / COUNT(avg_amount) AS avg_order_value "
     "FROM v GROUP BY date ORDER BY date",
     "daily_metrics_basic": _with(T, V)
     + "SELECT date, COUNT(DISTINCT customer_id) AS unique_customers, ROUND(SUM(total_amount), 2) AS daily_revenue "

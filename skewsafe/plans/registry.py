@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skewsafe.functions.columns import salt
 from skewsafe.operators import quality, reports
 from skewsafe.operators.aggregate import (
     aggregate_orders,
@@ -23,9 +24,10 @@ from skewsafe.operators.aggregate import (
     with_null_order_id,
     with_run_timestamp,
 )
+from skewsafe.operators.exact import aggregate_orders_exact
 from skewsafe.operators.skew import detect_hot_keys
 from skewsafe.plans import jobs
-from skewsafe.plans.oracle import AS_OF_DAY, PAGE_SPAN, REPLAY_DAY, SINCE_DAY, SPLIT_DAY
+from skewsafe.plans.oracle import AS_OF_DAY, PAGE_SPAN, REPLAY_DAY, SINCE_DAY, SPLIT_DAY, WIDE_AMOUNT
 from skewsafe.schemas import GROUP_KEYS, ORDERS, TARGET, TARGET_V3, with_field
 from skewsafe.session import shared_dir
 from skewsafe.sinks.writers import (
@@ -95,6 +97,16 @@ def agg_subcent_salted(spark, sf_dir):
     return aggregate_salted(_discounts(spark, sf_dir), None, SALT_BUCKETS)
 
 
+def agg_wide_range(spark, sf_dir):
+    """Amounts of very different sizes and both signs: the exact sum, rounded once."""
+    return aggregate_orders_exact(orders_from_tpch(spark, sf_dir, amount=WIDE_AMOUNT))
+
+
+def agg_wide_range_salted(spark, sf_dir):
+    rows = orders_from_tpch(spark, sf_dir, amount=WIDE_AMOUNT)
+    return aggregate_orders_exact(rows, salt=salt("partition_key", None, SALT_BUCKETS, ["order_id", "amount"]))
+
+
 def agg_orders_by_date(spark, sf_dir):
     return aggregate_orders(orders_from_tpch(spark, sf_dir), by_date=True)
 
@@ -306,6 +318,8 @@ QUERIES: dict[str, Query] = {
     "agg_salted_two_phase": agg_salted_two_phase,
     "agg_subcent": agg_subcent,
     "agg_subcent_salted": agg_subcent_salted,
+    "agg_wide_range": agg_wide_range,
+    "agg_wide_range_salted": agg_wide_range_salted,
     "agg_orders_by_date": agg_orders_by_date,
     "write_by_date_roundtrip": write_by_date_roundtrip,
     "incremental_append": incremental_append,
