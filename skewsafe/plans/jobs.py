@@ -24,6 +24,7 @@ from skewsafe.operators.aggregate import (
 )
 from skewsafe.operators.skew import hot_key_list
 from skewsafe.schemas import TARGET, TARGET_V3, with_field
+from skewsafe.sinks.versions import VersionedTable
 from skewsafe.sinks.writers import (
     read_target,
     replace_with_batch,
@@ -127,6 +128,13 @@ def incremental_append(batch: DataFrame, path: str, batch_id: int, run_ts: _dt.d
                   lambda: write_batch(result, path, batch_id, ("date",), ("partition_key", "customer_id")))
 
 
+def replace_batch(batch: DataFrame, table: VersionedTable, batch_id: int, run_ts: _dt.datetime | None = None) -> JobResult:
+    """J4 into a versioned catalog table: readers see the earlier batch until the new one is complete and checked."""
+    t0 = time.time()
+    rows = table.replace(with_run_timestamp(aggregate_orders(batch), run_ts), batch_id, ("date", "partition_key", "customer_id"))
+    return JobResult("replace", table.name, rows, time.time() - t0)
+
+
 def run_all(rows: DataFrame, later: DataFrame, base: str, since: str | None = None) -> dict[str, JobResult]:
     """v1, v2, v3, the append, then the reports on the final table."""
     out = {

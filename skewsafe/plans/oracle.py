@@ -111,6 +111,10 @@ ORACLE_SQL: dict[str, str] = {
     "write_by_date_roundtrip": BY_DATE,
     "replayed_batch": f"WITH {BATCHES} SELECT *, CAST(0 AS BIGINT) AS batch_id FROM a "
     f"UNION ALL SELECT *, CAST(1 AS BIGINT) AS batch_id FROM b WHERE date >= '{REPLAY_DAY}'",
+    # The replay aggregates its own rows: groups of the days from REPLAY_DAY on.
+    "replaced_versions": f"WITH a AS ({_v_between(None, SPLIT_DAY)}), b AS ({_v_between(REPLAY_DAY, None)}) "
+    "SELECT *, CAST(0 AS BIGINT) AS batch_id, CAST(1 AS BIGINT) AS versions FROM a "
+    "UNION ALL SELECT *, CAST(1 AS BIGINT) AS batch_id, CAST(2 AS BIGINT) AS versions FROM b",
     "job_v1": _with(T, V) + _job("v"),
     "job_v2": _with(T, V) + _job("v"),
     "job_v3": f"WITH v AS ({_v_between(SINCE_DAY, None)}) " + _job("v"),
@@ -174,5 +178,6 @@ ORACLE_SQL: dict[str, str] = {
     "write_partitioned_roundtrip": AGG_V,
     "write_clustered_roundtrip": AGG_V,
     "staged_publish": AGG_V,
-    "stream_append_rollup": _with(T, V) + "SELECT *, '2024-01-15 12:00:00' AS processed_at FROM v",
+    "stream_append_rollup": _with(T, V) + "SELECT *, '2024-01-15 12:00:00' AS processed_at, "
+    "(SELECT COUNT(*) FROM t) AS batch_orders, TRUE AS several_batches FROM v",
 }

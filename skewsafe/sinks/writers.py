@@ -208,17 +208,19 @@ def staged_publish(
 
     The staged copy is plain files (no partition folders), written by the
     producing tasks, so the result is computed once and the partitioned
-    layout (one shuffle) is paid for once, at publish.
-    The target is touched only after the staged copy is complete and, when
-    ``expected_rows`` is given, has that many rows. Publishing uses dynamic
+    layout (one shuffle) is paid for once, at publish. Row count and checksum
+    are observed while the rows are staged.
+    The target is touched only when the staged copy, read back, has exactly
+    these (and ``expected_rows`` rows, when given). Publishing uses dynamic
     overwrite: partitions not in the batch stay as they were.
     """
+    from skewsafe.sinks.versions import write_checked
+
     spark = df.sparkSession
-    write_table(df, staging_path, fmt)  # producing tasks write directly: no layout shuffle
-    staged = spark.read.format(fmt).schema(schema).load(staging_path)
-    rows = staged.count()
+    rows = write_checked(df, staging_path, schema, (), fmt)  # producing tasks write directly: no layout shuffle
     if expected_rows is not None and rows != expected_rows:
         raise RuntimeError(f"staged {rows} rows, expected {expected_rows}; target left unchanged")
+    staged = spark.read.format(fmt).schema(schema).load(staging_path)
     write_partitioned(staged, target_path, partition_by, (), fmt, mode="overwrite", dynamic=True)
     return rows
 

@@ -19,6 +19,7 @@ import datetime as _dt
 import json
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +29,10 @@ from skewsafe.schemas import ORDERS
 from skewsafe.sinks.writers import write_batch
 
 
+class StreamPaused(RuntimeError):
+    """The stream was stopped on purpose between two batches."""
+
+
 def orders_stream(spark: SparkSession, path: str, schema: T.StructType = ORDERS, fmt: str = "parquet",
                   max_files_per_trigger: int | None = None,
                   max_bytes_per_trigger: int | None = None) -> DataFrame:
@@ -47,6 +52,15 @@ def orders_stream(spark: SparkSession, path: str, schema: T.StructType = ORDERS,
     return reader.load(path)
 
 
+def batch_budget(spark: SparkSession, path: str, batches: int) -> int:
+    """``max_bytes_per_trigger`` that works off the files now in ``path`` in about ``batches`` micro-batches."""
+    if batches < 1:
+        raise ValueError("batches must be >= 1")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return max(1, -(-size // batches))
+
+
 def stream_identity(spark: SparkSession, checkpoint_path: str) -> str:
     """The id that Spark keeps in a stream's checkpoint: the same after a restart, new for a new checkpoint."""
     row = spark.read.text(f"{checkpoint_path.rstrip('/')}/metadata").first()
@@ -64,13 +78,22 @@ def append_stream(
     processing_time: str | None = None,
     fmt: str = "parquet",
     run_ts: _dt.datetime | None = None,
+    stop_after: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream: ``aggregate`` each batch, stamp it (P1), write it as batch ``epoch_id`` of this stream."""
+    """Start the stream: ``aggregate`` each batch, stamp it (P1), write it as batch ``epoch_id`` of this stream.
+
+    ``stop_after`` ends the run with a :class:`StreamPaused` error before that many
+    batches are passed, for planned restarts: the next run goes on from the checkpoint.
+    """
+    written: list[int] = []
     identity: list[str] = []
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         if not identity:
             identity.append(stream_identity(batch.sparkSession, checkpoint_path))
+        if stop_after is not None and len(written) >= stop_after:
+            raise StreamPaused(f"stopped after {stop_after} batches, before batch {epoch_id}")
+        written.append(epoch_id)
         result = with_run_timestamp(aggregate(batch), run_ts)
         write_batch(result, target_path, epoch_id, partition_by, cluster_by, fmt, stream_id=identity[0])
 
@@ -83,8 +106,13 @@ def append_stream(
 
 
 def run_append_stream(stream: DataFrame, target_path: str, checkpoint_path: str, **kw) -> None:
-    """Process everything available, then stop; raises if the stream failed."""
+    """Process everything available (or ``stop_after`` batches), then stop; raises if the stream failed."""
     query = append_stream(stream, target_path, checkpoint_path, available_now=True, **kw)
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as failed:
+        if kw.get("stop_after") is not None and StreamPaused.__name__ in str(failed):
+            return
+        raise
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
