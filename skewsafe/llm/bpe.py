@@ -4,13 +4,14 @@ Each match of the split pattern is encoded on its own, as the ``tiktoken``
 library does. Texts over ``CHUNK`` characters are first cut at boundaries that
 are certain to be match boundaries (``bpe_text``), so a call into the library
 holds one chunk and not a whole huge text; a single match longer than that
-stays whole. Decoding concatenates the raw bytes of the ids: bytes that split a
+stays whole. Very long white space is matched apart. Decoding concatenates the raw bytes of the ids: bytes that split a
 character, or text that is not what the tokenizer saw, come back as they are.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,31 @@ from skewsafe.llm.bpe_text import safe_chunks
 from skewsafe.llm.tokenizers_cache import rank_encoding
 
 CHUNK = 65_536
+# The characters of the split pattern's white space.
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space of this length or more is matched here, not by the library's pattern, which fails on very long runs.
+LONG_SPACE = 10_000
+_LONG_RUN = re.compile(f"[{_SPACE}]{{{LONG_SPACE},}}")
 
 
 def encode_text(text: str, encoding, chunk: int = CHUNK) -> list[int]:
-    """Ids of the whole ``text``."""
+    """Ids of the whole ``text``.
+
+    The pattern takes all of a run of white space at the end of the text, and
+    all but its last character before other text, as one match.
+    """
+    ids: list[int] = []
+    start = 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        ids += _encode_stretch(text[start:run.start()], encoding, chunk)
+        ids += encoding._encode_single_piece(text[run.start():end])
+        start = end
+    return ids + _encode_stretch(text[start:], encoding, chunk)
+
+
+def _encode_stretch(text: str, encoding, chunk: int) -> list[int]:
+    """Ids of a text without very long white space."""
     if len(text) <= chunk:
         return encoding.encode_ordinary(text)
     ids: list[int] = []

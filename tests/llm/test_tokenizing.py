@@ -158,3 +158,17 @@ def test_knapsack_prices_match_brute_force():
         for room in range(21)
     ]
     assert np.allclose(best, brute)
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\t", "\u3000", "\x85", " \n", "\x1c"])
+def test_very_long_white_space(space):
+    """The library's pattern fails on such runs; the rule is held against it on runs that it can match."""
+    ranks = rank_encoding(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    for n in (bpe.LONG_SPACE - 1, bpe.LONG_SPACE, bpe.LONG_SPACE + 1, 3 * bpe.LONG_SPACE):
+        run = (space * n)[:n]
+        for text in (run, "a" + run, run + "b", "a" + run + "1", "a." + run + "!b" + run, run + "x" + run + "\x1c" + run):
+            assert bpe.encode_text(text, ranks) == ranks.encode_ordinary(text)
+    for n in (10**6, 10**7):
+        run = (space * n)[:n]
+        if space != "\x1c":  # not white space for the pattern
+            assert ranks.decode_bytes(bpe.encode_text("a" + run + "b", ranks)) == ("a" + run + "b").encode()
