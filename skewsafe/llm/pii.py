@@ -158,11 +158,22 @@ def _number(stream: Column, i: Column, bound: Column | int) -> Column:
 _LOWER, _UPPER, _DIGIT, _HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 
 
-def _shaped(value: Column, stream: Column, shift: int = 0) -> Column:
-    """``value`` with every ASCII letter and digit replaced by another of its class."""
+_CYRILLIC, _GREEK = "абвгдежзиклмнопрстуфхцчшщэюя", "αβγδεζηθικλμνξοπρστυφχψω"
+#: From this attempt on, kinds with few values may leave their usual space.
+WIDER_FROM = 4
+#: Drawing fails with an error after so many rounds; each round from WIDER_FROM on has a larger space.
+MAX_ROUNDS = 64
+
+
+def _shaped(value: Column, stream: Column, shift: int = 0, scripts: bool = False) -> Column:
+    """``value`` with every ASCII letter and digit replaced by another of its class (``scripts``: Cyrillic and Greek too)."""
 
     def replaced(c: Column, i: Column) -> Column:
         out = c
+        if scripts:
+            for script, alphabet in (("Cyrillic", _CYRILLIC), ("Greek", _GREEK)):
+                n = _number(stream, i + shift, len(alphabet))
+                out = F.when(c.rlike(rf"\p{{Is{script}}}"), F.lit(alphabet).substr(n + 1, F.lit(1))).otherwise(out)
         for alphabet in (_LOWER, _UPPER, _DIGIT):
             n = _number(stream, i + shift, len(alphabet))
             out = F.when((c != "") & F.lit(alphabet).contains(c), F.lit(alphabet).substr(n + 1, F.lit(1))).otherwise(out)
@@ -214,7 +225,10 @@ def surrogate(key: Column, attempt: Column, secret: str) -> Column:
     second = (16 + _number(stream, F.lit(8), 16)).cast("string")
     ipv4 = (
         F.when(value.startswith("10."), F.concat_ws(".", F.lit("10"), octet[1], octet[2], octet[3]))
-        .when(value.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), octet[2], octet[3]))
+        .when(value.startswith("192.168.") & (attempt < WIDER_FROM), F.concat_ws(".", F.lit("192.168"), octet[2], octet[3]))
+        # A private range that is used up goes on in the largest one.
+        .when(value.startswith("192.168."), F.concat_ws(".", F.lit("10"), octet[1], octet[2], octet[3]))
+        .when(value.rlike(r"^172\.(1[6-9]|2\d|3[01])\.") & (attempt >= WIDER_FROM), F.concat_ws(".", F.lit("10"), octet[1], octet[2], octet[3]))
         .when(value.rlike(r"^172\.(1[6-9]|2\d|3[01])\."), F.concat_ws(".", F.lit("172"), second, octet[2], octet[3]))
         .when(value.startswith("127."), F.concat_ws(".", F.lit("127"), octet[1], octet[2], octet[3]))
         .otherwise(F.concat_ws(".", public, octet[1], octet[2], octet[3]))
@@ -226,13 +240,24 @@ def surrogate(key: Column, attempt: Column, secret: str) -> Column:
 
     # A national number of ten digits changes whole (not starting with 0 or 1);
     # others keep their first two digits, the country.
-    lead = F.when(F.length(value) == 10, (2 + _number(stream, F.lit(90), 8)).cast("string")).otherwise(F.substring(value, 1, 2))
+    lead = F.when((F.length(value) == 10) | (attempt >= WIDER_FROM), (2 + _number(stream, F.lit(90), 8)).cast("string")).otherwise(F.substring(value, 1, 2))
     phone = F.concat(lead, shaped.substr(F.length(lead) + 1, F.length(value)))
 
     hexed = F.array_join(
         F.transform(F.split(value, ""), lambda c, i: F.lit(_HEX).substr(_number(stream, i, 16) + 1, F.lit(1))), ""
     )
-    secret_value = F.when(value.rlike("^[0-9a-f]+$"), hexed).otherwise(shaped)
+    letters = F.array_join(
+        F.transform(F.split(value, ""), lambda c, i: F.lit(_LOWER).substr(_number(stream, i, 26) + 1, F.lit(1))), ""
+    )
+    # A value without a letter or digit of these scripts is replaced whole; each round from WIDER_FROM on adds a letter.
+    secret_value = (
+        F.when(value.rlike("^[0-9a-f]+$"), hexed)
+        .when(~value.rlike(r"[A-Za-z0-9\p{IsCyrillic}\p{IsGreek}]"), letters)
+        .otherwise(_shaped(value, stream, scripts=True))
+    )
+    longer = F.greatest(F.lit(0), attempt - WIDER_FROM + 1)
+    more = F.array_join(F.transform(F.sequence(F.lit(1), longer), lambda i: F.lit(_LOWER).substr(_number(stream, i + 40, 26) + 1, F.lit(1))), "")
+    secret_value = F.concat(secret_value, F.when(longer > 0, more).otherwise(""))
 
     script, gender = _script(value), F.substring(kind, -1, 1)
     family, given = F.lit(""), F.lit("")
@@ -265,7 +290,9 @@ def surrogates(entities: DataFrame, secret: str) -> DataFrame:
     """``key, surrogate`` of each distinct ``key``: no two alike, none equal to a real entity.
 
     Each round draws for the open entities, keeps the draws that are new, and
-    goes on with the rest. All rounds are distributed and written down; only
+    goes on with the rest. A kind whose space is used up gets a larger one from
+    round ``WIDER_FROM`` on; after ``MAX_ROUNDS`` an error names an entity that is
+    left. All rounds are distributed and written down; only
     the number of open entities reaches the driver.
     """
     keys = staged(entities.select("key").distinct(), "pii-entities")
@@ -295,6 +322,8 @@ def surrogates(entities: DataFrame, secret: str) -> DataFrame:
         if open_.isEmpty():
             return settled.select("key", "surrogate")
         attempt += 1
+        if attempt == MAX_ROUNDS:
+            raise RuntimeError(f"no free surrogates for {open_.count()} entities after {attempt} rounds, such as {open_.first()['key']!r}")
 
 
 # --- documents ----------------------------------------------------------------------

@@ -132,3 +132,22 @@ def test_whole_table(spark):
 def test_plan_has_no_python(spark):
     plan = pii.with_surrogates(docs(spark, ["a@b.com"]), "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("secret", ["********", "пароль-мой-дом", "κωδικόςμου", "😀😀😀😀😀😀😀😀", "########1", "密码密码密码密码", "пароль1пароль"])
+def test_secrets_of_any_characters_are_replaced(spark, secret):
+    """Masked, Cyrillic, Greek, Chinese and emoji secrets, several alike but for one character."""
+    text = f'password = "{secret}" and token = "{secret}x"'
+    [out] = replaced(spark, [text])
+    found = re.fullmatch(r'password = "(.+)" and token = "(.+)"', out)
+    assert found and found[1] != secret and found[2] != f"{secret}x" and found[1] != found[2]
+    if re.search(r"[\u0400-\u04ff\u0370-\u03ff]", secret):
+        assert secret[:3] not in out
+
+
+def test_a_used_up_range_goes_on_elsewhere(spark):
+    """Secrets of one digit beside fixed characters: more of them than digits."""
+    secrets = [f"########{d}" for d in range(10)]
+    out = replaced(spark, [f'token = "{s}"' for s in secrets])
+    values = [re.fullmatch(r'token = "(.+)"', o)[1] for o in out]
+    assert len(set(values)) == 10 and not set(values) & set(secrets)
