@@ -25,13 +25,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from skewsafe.llm.common import staged
-from skewsafe.llm.tokenizers_cache import UnitCache, held, hf_tokenizer, slices
+from skewsafe.llm.word_tokens import text_ids
 
 CAPACITY = 4096
 ROUNDS = 24
@@ -47,54 +46,15 @@ ETA = 2.0
 SINGLE_PIECES = 300_000
 #: A rank block holds about this share of all pieces at most.
 BLOCKS = 1000
-CACHE_UNITS = 500_000
-BATCH_CHARS = 4_000_000
 
 
 # --- tokens of the documents -------------------------------------------------
 
-class _WordIds:
-    """Bytes of the little-endian uint32 ids of single words, remembered.
-
-    The tokenizer lower-cases and never joins a letter with punctuation, so a
-    plain word is put together from its lower-case letters and the mark behind
-    them; only what is new after that is encoded.
-    """
-
-    def __init__(self, path: str):
-        tokenizer = hf_tokenizer(path)
-        self.parts = UnitCache(
-            lambda new: (
-                np.array(e.ids, dtype="<u4").tobytes()
-                for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            ),
-            CACHE_UNITS,
-        )
-        self.words = UnitCache(self._composed, CACHE_UNITS)
-
-    @staticmethod
-    def _split(word: str) -> tuple[str, str]:
-        body = word[:-1] if word[-1:] in (".", ",") else word
-        return (body.lower(), word[len(body):]) if body.isascii() and body.isalpha() else (word, "")
-
-    def _composed(self, words: list[str]):
-        split = list(map(self._split, words))
-        known = self.parts.learn({p for pair in split for p in pair})
-        return [known[body] + known[mark] for body, mark in split]
-
-
 def _token_bytes(texts: pa.Array, path: str):
-    """The little-endian uint32 ids of each text, as bytes.
-
-    The tokenizer drops white space and none of its patterns crosses it, so the
-    parts between spaces and line feeds are encoded once each and put together.
-    """
-    memory = held(("packing", path), lambda: _WordIds(path))
-    for a, b in slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), BATCH_CHARS):
-        split = [(s or "").replace("\n", " ").split(" ") for s in texts.slice(a, b - a).to_pylist()]
-        known = memory.words.learn(set().union(*split))
-        for words in split:
-            yield b"".join(map(known.__getitem__, words))
+    """The little-endian uint32 ids of each text, as bytes."""
+    for _, ids, at in text_ids(texts, path):
+        for i in range(len(at) - 1):
+            yield ids[at[i]:at[i + 1]].tobytes()
 
 
 def token_pieces(
