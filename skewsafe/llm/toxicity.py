@@ -17,7 +17,9 @@ one after the other, so a Python worker holds one at a time.
 
 The models are a classifier fitted on a bounded sample of labelled rows:
 ``TOXIC_SAMPLE`` toxic and ``ORDINARY_SAMPLE`` ordinary documents, chosen by a
-hash of their id, with their whole texts. Scoring covers every document.
+hash of their id, with their whole texts. Their n-grams are counted by Spark, as
+64-bit keys; the driver receives one model's merged tables at a time. Scoring
+covers every document.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from skewsafe.llm.common import staged
+from skewsafe.llm.common import discard, staged
 from skewsafe.llm.tokenizers_cache import UnitCache, held, slices
 
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 3000
@@ -105,44 +107,73 @@ def _look(keys: np.ndarray, values: tuple[np.ndarray, ...], wanted: np.ndarray)
     return (keys[at] == wanted, *(v[at] for v in values))
 
 
-def fit(vocabulary: list[str], counts: np.ndarray) -> dict[str, np.ndarray]:
-    """Probability tables from distinct words and their counts ``[word, class]`` (0 ordinary, 1 toxic)."""
-    if not vocabulary:
-        vocabulary, counts = ["a"], np.ones((1, 2))
-    grams = _Grams.of(vocabulary)
+def _top_grams(some: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct highest-order grams of the words: keys, keys of their contexts, ``counts`` (by word) summed."""
+    grams = _Grams.of(some)
     at = np.flatnonzero(grams.place > 0)
+    word = (np.cumsum(grams.place == 0) - 1)[at]
     length = np.minimum(ORDER, grams.place[at] + 1)
-    sizes = np.diff(np.append(grams.starts, len(grams.place)))
-    count = np.repeat(counts, sizes, axis=0)[at]
-    key, context = grams.key(length, at), grams.key(length - 1, at - 1)
-    top, first, of = np.unique(key, return_index=True, return_inverse=True)
-    n = np.stack([np.bincount(of, count[:, c], len(top)) for c in (0, 1)], axis=1)
-    contexts, of = np.unique(context[first], return_inverse=True)
+    key, first, of = np.unique(grams.key(length, at), return_index=True, return_inverse=True)
+    n = np.stack([np.bincount(of, c[word], len(key)) for c in counts.T], axis=1)
+    return key, grams.key(length[first] - 1, at[first] - 1), n
+
+
+def _continuations(some: list[str], masks: np.ndarray):
+    """For every lower order: keys, contexts and longer grams (one more character before), once per longer gram.
+
+    With the ``masks`` (bits by word) of all words a longer gram is in.
+    """
+    grams = _Grams.of(some)
+    word = np.cumsum(grams.place == 0) - 1
+    for size in range(1, ORDER):
+        ends = np.flatnonzero(grams.place >= size)
+        longer, first, of = np.unique(grams.key(size + 1, ends), return_index=True, return_inverse=True)
+        mask = np.zeros(len(longer), np.int32)
+        np.bitwise_or.at(mask, of, masks[word[ends]])
+        yield size, grams.key(size, ends[first]), grams.key(size - 1, ends[first] - 1), longer, mask
+
+
+def _tables(key: np.ndarray, context: np.ndarray, n: np.ndarray, lower) -> dict[str, np.ndarray]:
+    """Probability tables from the distinct highest-order grams with their counts by class.
+
+    ``lower``: each size's distinct grams, their contexts, and how many distinct longer grams continue each.
+    """
+    order = np.argsort(key)
+    contexts, of = np.unique(context[order], return_inverse=True)
+    n = n[order]
     total = np.stack([np.bincount(of, n[:, c], len(contexts)) for c in (0, 1)], axis=1)
     types = np.stack([np.bincount(of, n[:, c] > 0, len(contexts)) for c in (0, 1)], axis=1)
     some = np.maximum(total, 1e-300)
     model = {
-        "top": top,
+        "top": key[order],
         "top_p": np.where(total[of] > 0, np.maximum(n - DISCOUNT, 0) / some[of], 0).astype(np.float32),
         "context": contexts,
         "context_b": np.where(total > 0, DISCOUNT * types / some, 1).astype(np.float32),
     }
-    # Lower orders, longest first: how many distinct longer grams continue each gram.
-    ends, lengths = at[first], length[first]
-    below_end, found = np.zeros(0, np.int64), {}
-    for size in range(ORDER, 1, -1):
-        here = np.concatenate([ends[lengths == size], below_end])
-        keys, rep, seen = np.unique(grams.key(size - 1, here), return_index=True, return_counts=True)
-        below_end = here[rep]
-        found[size - 1] = (keys, seen, grams.key(size - 2, below_end - 1))
-    for size, (keys, seen, context) in found.items():
-        ctx, of = np.unique(context, return_inverse=True)
+    for size, keys, context, seen in lower:
+        order = np.argsort(keys)
+        ctx, of = np.unique(context[order], return_inverse=True)
+        seen = seen[order]
         total, types = np.bincount(of, seen, len(ctx)), np.bincount(of, minlength=len(ctx))
-        model[f"low{size}"], model[f"low{size}_p"] = keys, ((seen - DISCOUNT) / total[of]).astype(np.float32)
+        model[f"low{size}"], model[f"low{size}_p"] = keys[order], ((seen - DISCOUNT) / total[of]).astype(np.float32)
         model[f"ctx{size}"], model[f"ctx{size}_b"] = ctx, (DISCOUNT * types / total).astype(np.float32)
     return model
 
 
+def fit(vocabulary: list[str], counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Probability tables from distinct words and their counts ``[word, class]`` (0 ordinary, 1 toxic).
+
+    ``train`` gets the same tables from counts that Spark adds up. No words: flat tables.
+    """
+    if not vocabulary:
+        vocabulary, counts = ["a"], np.ones((1, 2))
+    lower = []
+    for size, keys, context, _, _ in _continuations(vocabulary, np.ones(len(vocabulary), np.int32)):
+        keys, first, seen = np.unique(keys, return_index=True, return_counts=True)
+        lower.append((size, keys, context[first], seen))
+    return _tables(*_top_grams(vocabulary, counts), lower)
+
+
 def evidence(some: list[str], model: dict[str, np.ndarray], at_once: int = 20_000) -> np.ndarray:
     """log P(word | toxic) - log P(word | ordinary) of each word."""
     if len(some) > at_once:  # bounds the arrays of n-grams
@@ -203,26 +234,78 @@ def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
 # --- in Spark --------------------------------------------------------------------
 
 
+_PARTS = [f"n{i}" for i in range(2 * FOLDS)]  # one count by fold and class: 2 * fold + class
+
+
 def _word_counts(sample: DataFrame) -> DataFrame:
-    """``word, fold, ordinary, toxic``: occurrences in the sample's whole texts by fold and class."""
+    """``word`` and its occurrences in the sample's whole texts by fold and class."""
 
     def count(batches):
         for batch in batches:
-            found: dict[tuple[str, int], list[int]] = {}
+            found: dict[str, list[int]] = {}
             for text, toxic, fold in zip(*(c.to_pylist() for c in batch.columns)):
                 for word in words(text or ""):
-                    found.setdefault((word, fold), [0, 0])[toxic] += 1
+                    found.setdefault(word, [0] * len(_PARTS))[2 * fold + toxic] += 1
+            n = np.array(list(found.values()), np.int64).reshape(-1, len(_PARTS))
             yield pa.RecordBatch.from_pydict(
-                {
-                    "word": pa.array([k[0] for k in found], pa.string()),
-                    "fold": pa.array([k[1] for k in found], pa.int32()),
-                    "ordinary": pa.array([n[0] for n in found.values()], pa.int64()),
-                    "toxic": pa.array([n[1] for n in found.values()], pa.int64()),
-                }
+                {"word": pa.array(found, pa.string()), **{p: pa.array(c) for p, c in zip(_PARTS, n.T)}}
             )
 
-    parts = sample.select("text", "toxic", "fold").mapInArrow(count, "word string, fold int, ordinary long, toxic long")
-    return parts.groupBy("word", "fold").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    schema = "word string, " + ", ".join(f"{p} long" for p in _PARTS)
+    parts = sample.select("text", "toxic", "fold").mapInArrow(count, schema)
+    return parts.groupBy("word").agg(*(F.sum(p).alias(p) for p in _PARTS))
+
+
+def _counts(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
+    return batch["word"].to_pylist(), np.stack([batch[p].to_numpy() for p in _PARTS], axis=1)
+
+
+def _long(keys: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(keys).view(np.int64))
+
+
+def _top_table(counted: DataFrame) -> DataFrame:
+    """``key, context`` and counts by fold and class of every highest-order gram."""
+
+    def explode(batches):
+        for batch in batches:
+            if batch.num_rows:
+                key, context, n = _top_grams(*_counts(batch))
+                yield pa.RecordBatch.from_pydict(
+                    {"key": _long(key), "context": _long(context),
+                     **{p: pa.array(c.astype(np.int64)) for p, c in zip(_PARTS, n.T)}}
+                )
+
+    schema = "key long, context long, " + ", ".join(f"{p} long" for p in _PARTS)
+    parts = counted.mapInArrow(explode, schema)
+    return parts.groupBy("key", "context").agg(*(F.sum(p).alias(p) for p in _PARTS))
+
+
+def _low_table(counted: DataFrame, masks: list[int]) -> DataFrame:
+    """``size, key, context`` of every lower-order gram and, for each of ``masks`` (bits: folds of a model),
+    in ``seen_<mask>`` how many distinct longer grams of those folds continue it."""
+
+    def explode(batches):
+        for batch in batches:
+            if batch.num_rows:
+                some, n = _counts(batch)
+                bits = (n.reshape(-1, FOLDS, 2).any(axis=2) << np.arange(FOLDS)).sum(axis=1).astype(np.int32)
+                for size, key, context, longer, mask in _continuations(some, bits):
+                    yield pa.RecordBatch.from_pydict(
+                        {"size": pa.array(np.full(len(key), size, np.int32)), "key": _long(key),
+                         "context": _long(context), "longer": _long(longer), "folds": pa.array(mask)}
+                    )
+
+    parts = counted.mapInArrow(explode, "size int, key long, context long, longer long, folds int")
+    # Dealt by the shorter gram: both steps find its rows in one partition.
+    once = parts.repartition("key").groupBy("size", "key", "context", "longer").agg(F.bit_or("folds").alias("folds"))
+    return once.groupBy("size", "key", "context").agg(
+        *(F.count_if(F.col("folds").bitwiseAND(F.lit(m)) != 0).alias(f"seen_{m}") for m in masks)
+    )
+
+
+def _keys(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy().view(np.uint64)
 
 
 def _document_features(texts: pa.Array, shared, name: str):
@@ -267,7 +350,8 @@ class ToxicityModel:
 def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> ToxicityModel:
     """Fit on the labelled rows of ``labels`` (``doc_id``, ``toxic`` 0/1; others are skipped).
 
-    An id with several labels counts as toxic if one says so. Without any label,
+    An id with several labels counts as toxic if one says so; of an id with
+    several rows the smallest text is learned. Without any label,
     or without one of the classes, the models are flat and scores follow the
     share of toxic labels.
     """
@@ -279,41 +363,50 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> ToxicityMod
         for c, n in ((0, ORDINARY_SAMPLE), (1, TOXIC_SAMPLE))
     ]
     ids = chosen[0].unionByName(chosen[1])  # bounded by the sample sizes
-    sample = staged(
-        docs.select("doc_id", F.col(text).alias("text"))
-        .join(F.broadcast(ids), "doc_id")
-        .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")),
-        "toxicity-sample",
-    )
-    # As columns, not rows: bounded by the sample, but still many words. Sorted,
-    # so that every run builds the same tables.
-    counted = _word_counts(sample).toArrow().combine_chunks().sort_by([("word", "ascending"), ("fold", "ascending")])
-    vocabulary = counted["word"].combine_chunks().dictionary_encode()
-    counts = np.zeros((len(vocabulary.dictionary), FOLDS, 2))
-    for c, name in enumerate(("ordinary", "toxic")):
-        np.add.at(counts[:, :, c], (vocabulary.indices.to_numpy(), counted["fold"].to_numpy()), counted[name].to_numpy())
-    vocabulary = vocabulary.dictionary
-    del counted
-
-    def fitted(folds: list[int]) -> ToxicityModel:
-        n = counts[:, folds].sum(axis=1)
-        some = n.any(axis=1)
-        tables = fit(vocabulary.filter(pa.array(some)).to_pylist(), n[some])
+    # One row of each id, so that the sample is bounded in rows too.
+    one = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(ids), "doc_id")
+    one = one.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    sample = staged(one.withColumn("fold", fold), "toxicity-sample")
+    # Counted in Spark; the driver gets the merged grams of one model at a time.
+    everything = (1 << FOLDS) - 1
+    without = [everything & ~(1 << fold) for fold in range(FOLDS)]
+    counted = staged(_word_counts(sample), "toxicity-words")
+    top = staged(_top_table(counted), "toxicity-top")
+    low = staged(_low_table(counted, [*without, everything]), "toxicity-low")
+
+    def fitted(mask: int) -> ToxicityModel:
+        n = [sum(F.col(_PARTS[2 * f + c]) for f in range(FOLDS) if mask >> f & 1) for c in (0, 1)]
+        found = top.select("key", "context", n[0].alias("ordinary"), n[1].alias("toxic"))
+        found = found.where("ordinary + toxic > 0").toArrow()
+        if not found.num_rows:
+            return ToxicityModel(spark, fit([], np.zeros((0, 2))), np.zeros(FEATURES + 1), uuid.uuid4().hex)
+
+        def lower():
+            seen = F.col(f"seen_{mask}").alias("seen")
+            for size in range(1, ORDER):
+                part = low.where(F.col("size") == size).select("key", "context", seen).where("seen > 0").toArrow()
+                yield size, _keys(part["key"]), _keys(part["context"]), part["seen"].to_numpy()
+
+        n = np.stack([found["ordinary"].to_numpy(), found["toxic"].to_numpy()], axis=1)
+        tables = _tables(_keys(found["key"]), _keys(found["context"]), n, lower())
         return ToxicityModel(spark, tables, np.zeros(FEATURES + 1), uuid.uuid4().hex)
 
     rows = []
     for fold in range(FOLDS):
-        others = fitted([f for f in range(FOLDS) if f != fold])
+        others = fitted(without[fold])
         unseen = sample.where(F.col("fold") == fold).select("doc_id", "toxic", others._features()("text").alias("x"))
         rows += unseen.collect()
         # Neither the driver nor an executor keeps this model while the next one is there.
         others.shared.destroy()
         del others, unseen
-    model = fitted(list(range(FOLDS)))
+    model = fitted(everything)
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
     if rows:
         x = np.array([r["x"] for r in rows])
         model.weights = calibrate(x, np.array([r["toxic"] for r in rows], dtype=float))
+    for done in (sample, counted, top, low):
+        discard(done)
     return model
 
 
