@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from skewsafe.llm.common import staged
 
 SHARDS = 16
+#: Copies of equal rows travel in runs of at most so many.
+RUN = 65_536
 
 
 def sized(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -30,16 +32,22 @@ def sized(docs: DataFrame, text: str = "text") -> DataFrame:
 def shard_by_bytes(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``rows`` (``doc_id, size, text_crc32``) with ``shard`` and ``slot``.
 
-    Order: ``doc_id`` (nulls first), then checksum, then size. Equal rows count
-    once with their number of copies until the end, so a row that is repeated a
-    billion times sorts as one; each copy gets its own place. ``slot`` is the
+    Order: ``doc_id`` (nulls first), then checksum, then size. Equal rows travel
+    as runs of at most ``RUN`` copies until the end, so a row that is repeated a
+    billion times is dealt over many ranges and never expanded by one task; each
+    copy gets its own place. ``slot`` is the
     row's number in its shard, from 0 without gaps. No rows: no result rows.
     Shards stay empty when there are fewer rows than shards or one huge row.
     """
     spark = rows.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size")]
-    merged = staged(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies")), "shard-rows")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size"), F.col("run")]
+    counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("all"))
+    runs = counted.select("*", F.explode(F.expr(f"sequence(0L, (all - 1) div {RUN})")).alias("run"))
+    merged = staged(
+        runs.select("doc_id", "size", "text_crc32", "run", F.expr(f"least({RUN}L, all - run * {RUN}L)").alias("copies")),
+        "shard-rows",
+    )
     # The range of each row is written down: every later pass sees the same ranges.
     ranged = staged(
         merged.repartitionByRange(ranges, *order).withColumn("block", F.spark_partition_id()), "shard-ranges"

@@ -2,6 +2,8 @@
 
 import zlib
 
+from pyspark.sql import functions as F
+
 from skewsafe.llm import sharding
 
 from skewsafe.llm.registry import op2_sharding
@@ -56,6 +58,18 @@ def test_null_and_repeated_ids(spark):
     ) <= 1
 
 
+def test_many_copies_of_one_row_travel_in_runs(spark):
+    n = 1_000_000
+    many = spark.range(n + 3).selectExpr("if(id < %d, 5L, id) as doc_id" % n, "if(id < %d, 'x', 'yy') as text" % n)
+    placed = sharding.shard_by_bytes(sharding.sized(many), 16)
+    got = placed.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m"))
+    rows = got.collect()
+    assert sum(r["n"] for r in rows) == n + 3 and len(rows) == 16
+    assert all(r["n"] == r["d"] == r["m"] + 1 for r in rows)
+    assert max(r["n"] for r in rows) - min(r["n"] for r in rows) <= 4
+    assert placed.where("size = 2").count() == n
+
+
 def test_no_rows(spark):
     assert shards_of(no_docs(spark)) == []
 
