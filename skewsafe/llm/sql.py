@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from skewsafe.llm.url_filter import BOUND, MAX_BAD_RATE, MULTI_LABEL_SUFFIXES
+from skewsafe.llm.url_filter import ALIKE, ALIKE_MEMBERS, BOUND, MAX_BAD_RATE, MULTI_LABEL_SUFFIXES, PRIOR_OUTCOMES, PRIOR_RATE
 
 _MULTI = ", ".join(f"'{s}'" for s in MULTI_LABEL_SUFFIXES)
 
 
-def _strength(table: str) -> str:
-    """SQL of the prior strength of ``table`` (n, k, m)."""
-    return f"""(SELECT 1 / greatest(0.0001, least(0.5, coalesce(CASE WHEN isnan(r) OR isinf(r) THEN NULL ELSE r END, 0.0001))) - 1
-    FROM (SELECT (sum((k - n * m) * (k - n * m)) - sum(n * m * (1 - m)))
-                 / nullif(sum(n * (n - 1) * m * (1 - m)), 0) AS r FROM {table}))"""
+_SUMS = f"sum(n / (1 + (n - 1) * {ALIKE})) AS n, sum(k / (1 + (n - 1) * {ALIKE})) AS k"
+
+
+def _shrunk(table: str) -> str:
+    """SQL of ``table`` (n, k, m, u) with its strength s, posterior mean p and variance v."""
+    strength = f"""SELECT 1 / greatest(0.0001, least(0.5,
+      (coalesce(sum(((k - n * m) * (k - n * m) - n * m * (1 - m)) / (n * n * m * (1 - m))), 0) + {ALIKE * ALIKE_MEMBERS})
+      / (coalesce(sum((n - 1) / n), 0) + {ALIKE_MEMBERS}))) - 1 AS s FROM {table} WHERE n > 1"""
+    return f"""(SELECT *, p * (1 - p) / (n + s + 1) + (s / (n + s)) * (s / (n + s)) * u AS v
+    FROM (SELECT *, (k + s * m) / (n + s) AS p FROM {table}, ({strength})))"""
 
 
 OP8 = f"""
@@ -38,20 +43,18 @@ placed AS (
          WHEN array_to_string(part[-2:], '.') IN ({_MULTI}) THEN array_to_string(part[-2:], '.')
          ELSE part[-1] END AS suffix
   FROM labelled),
-domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM placed GROUP BY 1, 2),
-suffixes AS (
-  SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT sum(k) / (sum(n) + 1) FROM domains) AS m
-  FROM domains GROUP BY 1),
-suffix_s AS (SELECT {_strength('suffixes')} AS s),
-by_suffix AS (SELECT suffix, (k + s * m) / (n + s) AS m FROM suffixes, suffix_s),
-domain_m AS (SELECT domain, n, k, m FROM domains JOIN by_suffix USING (suffix)),
-domain_s AS (SELECT {_strength('domain_m')} AS s),
-by_domain AS (SELECT domain, (k + s * m) / (n + s) AS m FROM domain_m, domain_s),
-host_m AS (SELECT host, n, k, m FROM placed JOIN by_domain USING (domain)),
-host_s AS (SELECT {_strength('host_m')} AS s),
-reputation AS (
-  SELECT host, p - {BOUND} * sqrt(p * (1 - p) / (n + s + 1)) AS bound
-  FROM (SELECT host, n, s, (k + s * m) / (n + s) AS p FROM host_m, host_s)),
+domains AS (SELECT domain, suffix, {_SUMS} FROM placed GROUP BY 1, 2),
+suffix_sums AS (SELECT suffix, {_SUMS} FROM domains GROUP BY 1),
+overall AS (
+  SELECT rate AS m, rate * (1 - rate) / (size + 1) AS u
+  FROM (SELECT (k + {PRIOR_RATE * PRIOR_OUTCOMES}) / (n + {PRIOR_OUTCOMES}) AS rate, n + {PRIOR_OUTCOMES} AS size
+        FROM (SELECT {_SUMS} FROM suffix_sums))),
+suffixes AS (SELECT * FROM suffix_sums, overall),
+by_suffix AS (SELECT suffix, p AS m, v AS u FROM {_shrunk('suffixes')}),
+domain_m AS (SELECT domain, n, k, m, u FROM domains JOIN by_suffix USING (suffix)),
+by_domain AS (SELECT domain, p AS m, v AS u FROM {_shrunk('domain_m')}),
+host_m AS (SELECT host, n, k, m, u FROM placed JOIN by_domain USING (domain)),
+reputation AS (SELECT host, p - {BOUND} * sqrt(v) AS bound FROM {_shrunk('host_m')}),
 ruled AS (
   SELECT *, CASE
     WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'

@@ -5,11 +5,16 @@ judged by its host's bad rate: labelled page outcomes are counted per host,
 registered domain and suffix, and shrunk down that chain. Each level has a beta
 prior whose mean is the parent's posterior mean and whose strength is estimated
 from the spread between the level's members (beta-binomial moments), so a host
-with few labels follows its domain and one with many follows itself.
+with few labels follows its domain and one with many follows itself. While few
+members show a spread, the strength stays near a weak one. Outcomes of one
+member are alike, so they count for less in its parent: ``n`` of them as
+``n / (1 + (n - 1) * ALIKE)``.
 
 A host is blocked when even the lower posterior bound of its bad rate,
 ``mean - BOUND * sd``, is above ``MAX_BAD_RATE``: by Cantelli's inequality the
 rate is above the bound with posterior probability 1 - 1 / (1 + BOUND^2), 90 %.
+The variance holds that of the prior mean, level by level, so a host is never
+blocked for a few labels elsewhere.
 
 Only counts move: pages are reduced to hosts with map-side sums, so a hot host
 costs one row per task; the last join is on the host, where AQE splits hot keys.
@@ -22,8 +27,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skewsafe.llm.common import staged
+
 MAX_BAD_RATE = 0.25
 BOUND = 3.0
+# Correlation of a member's outcomes before any spread is seen, worth that of so many members.
+ALIKE, ALIKE_MEMBERS = 0.2, 2.0
+# Overall rate before any outcome, and the outcomes it is worth.
+PRIOR_RATE, PRIOR_OUTCOMES = 0.25, 4.0
 
 
 @dataclass(frozen=True)
@@ -88,46 +99,56 @@ def _strength(groups: DataFrame) -> Column:
     """Prior strength (a scalar subquery) from members with ``n`` labels, ``k`` bad, and prior mean ``m``.
 
     Moments of the beta-binomial: the spread of k beyond the binomial's gives
-    the correlation r within a member, and s = 1 / r - 1 (r kept in 0.0001..0.5).
+    the correlation r within a member, averaged over the members with more than
+    one outcome and ``ALIKE_MEMBERS`` imagined ones; s = 1 / r - 1 (r kept in
+    0.0001..0.5).
     """
-    noise = F.col("m") * (1 - F.col("m"))
     n, k, m = F.col("n"), F.col("k"), F.col("m")
-    over = F.sum((k - n * m) * (k - n * m)) - F.sum(n * noise)
-    # No member with two labels: no spread to see, full weight on the prior.
-    r = F.coalesce(F.try_divide(over, F.sum(n * (n - 1) * noise)), F.lit(0.0001))
+    noise = m * (1 - m)
+    several = groups.where(n > 1)
+    over = F.sum(((k - n * m) * (k - n * m) - n * noise) / (n * n * noise))
+    r = (F.coalesce(over, F.lit(0.0)) + ALIKE * ALIKE_MEMBERS) / (F.coalesce(F.sum((n - 1) / n), F.lit(0.0)) + ALIKE_MEMBERS)
     r = F.greatest(F.lit(0.0001), F.least(F.lit(0.5), r))
-    return groups.agg((1 / r - 1).alias("s")).scalar()
+    return several.agg((1 / r - 1).alias("s")).scalar()
 
 
 def _shrunk(groups: DataFrame) -> DataFrame:
-    """``groups`` (``n, k, m``) with the strength ``s`` and the posterior mean ``p``."""
-    return groups.withColumn("s", _strength(groups)).withColumn(
-        "p", (F.col("k") + F.col("s") * F.col("m")) / (F.col("n") + F.col("s"))
-    )
+    """``groups`` (``n, k``, prior mean ``m`` and its variance ``u``) with strength ``s``, posterior mean ``p``, variance ``v``."""
+    n, s, p = F.col("n"), F.col("s"), F.col("p")
+    known = groups.withColumn("s", _strength(groups)).withColumn("p", (F.col("k") + s * F.col("m")) / (n + s))
+    share = s / (n + s)
+    return known.withColumn("v", p * (1 - p) / (n + s + 1) + share * share * F.col("u"))
 
 
 def host_reputation(labelled: DataFrame) -> DataFrame:
     """``host, n, k, mean, bound`` of every host in ``labelled`` (``host``, ``bad``: 0, 1 or null).
 
     ``n`` outcomes, ``k`` of them bad; ``mean`` and ``bound`` of the posterior bad
-    rate. A host without outcomes has its domain's. No outcomes at all: rate 1/2
-    with almost no strength, so nothing is blocked. No rows: no rows.
+    rate. A host without outcomes has its domain's. No outcomes at all: the prior
+    rate with little strength, so nothing is blocked. No rows: no rows.
     """
     hosts = labelled.groupBy("host").agg(
         F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k")
     )
     domain, suffix = domain_and_suffix(F.col("host"))
-    hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
-    sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
+    # One row per host, written once: the levels and strengths below all read it.
+    hosts = staged(hosts.withColumns({"domain": domain, "suffix": suffix}), "url-hosts")
+    worth = 1 + (F.col("n") - 1) * ALIKE
+    sums = [F.sum(F.col("n") / worth).alias("n"), F.sum(F.col("k") / worth).alias("k")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
-    everything = domains.agg(F.sum("k") / (F.sum("n") + 1)).scalar()
-    suffixes = domains.groupBy("suffix").agg(*sums).withColumn("m", everything)
-    by_suffix = _shrunk(suffixes).select("suffix", F.col("p").alias("m"))
-    by_domain = _shrunk(domains.join(by_suffix, "suffix")).select("domain", F.col("p").alias("m"))
+    suffixes = domains.groupBy("suffix").agg(*sums)
+    size = F.sum(F.col("n") / worth) + PRIOR_OUTCOMES
+    rate = (F.sum(F.col("k") / worth) + PRIOR_RATE * PRIOR_OUTCOMES) / size
+    everything = suffixes.agg(rate.alias("m"), (rate * (1 - rate) / (size + 1)).alias("u"))
+    prior = [F.col("p").alias("m"), F.col("v").alias("u")]
+    by_suffix = _shrunk(
+        suffixes.withColumns({"m": everything.select("m").scalar(), "u": everything.select("u").scalar()})
+    ).select("suffix", *prior)
+    by_domain = _shrunk(domains.join(by_suffix, "suffix")).select("domain", *prior)
     by_host = _shrunk(hosts.join(by_domain, "domain"))
-    size = F.col("n") + F.col("s")
-    sd = F.sqrt(F.col("p") * (1 - F.col("p")) / (size + 1))
-    return by_host.select("host", "n", "k", F.col("p").alias("mean"), (F.col("p") - BOUND * sd).alias("bound"))
+    return by_host.select(
+        "host", "n", "k", F.col("p").alias("mean"), (F.col("p") - BOUND * F.sqrt("v")).alias("bound")
+    )
 
 
 def judge_pages(

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from skewsafe.llm import url_filter
@@ -68,12 +69,33 @@ def test_bad_hosts_are_blocked_and_small_ones_follow_their_domain(spark):
 
 
 def test_posterior_by_hand(spark):
-    """The strength formula against a plain Python version."""
-    groups = spark.createDataFrame([(40.0, 30.0, 0.5), (40.0, 8.0, 0.5), (10.0, 5.0, 0.5)], "n double, k double, m double")
-    over = sum((k - n * m) ** 2 - n * m * (1 - m) for n, k, m in ((40, 30, 0.5), (40, 8, 0.5), (10, 5, 0.5)))
-    r = over / sum(n * (n - 1) * 0.25 for n in (40, 40, 10))
-    s = url_filter._shrunk(groups).select("s").first()["s"]
-    assert math.isclose(s, 1 / r - 1)
+    """Strength, mean and variance against a plain Python version."""
+    members = [(40.0, 30.0, 0.5, 0.01), (40.0, 8.0, 0.5, 0.01), (10.0, 5.0, 0.5, 0.01), (1.0, 1.0, 0.5, 0.01), (0.0, 0.0, 0.5, 0.01)]
+    groups = spark.createDataFrame(members, "n double, k double, m double, u double")
+    several = [(n, k) for n, k, _, _ in members if n > 1]
+    over = sum(((k - n / 2) ** 2 - n / 4) / (n * n / 4) for n, k in several)
+    r = (over + url_filter.ALIKE * url_filter.ALIKE_MEMBERS) / (sum((n - 1) / n for n, _ in several) + url_filter.ALIKE_MEMBERS)
+    s = 1 / r - 1
+    for row in url_filter._shrunk(groups).collect():
+        p = (row["k"] + s / 2) / (row["n"] + s)
+        v = p * (1 - p) / (row["n"] + s + 1) + (s / (row["n"] + s)) ** 2 * 0.01
+        assert math.isclose(row["s"], s) and math.isclose(row["p"], p) and math.isclose(row["v"], v)
+
+
+@pytest.mark.parametrize(
+    "bad", [[], [1], [0], [1, 1], [1, 0], [1, 1, 1], [1, 0, 0]], ids=lambda bad: "".join(map(str, bad)) or "none"
+)
+def test_few_labels_block_no_other_host(spark, bad):
+    """100 hosts; up to three labels, on one host each or all on one. Up to two labels block nothing at all;
+    three that are all bad may block the hosts that carry them."""
+    apart = url_filter.judge_pages(
+        pages(spark, [f"http://h{i}.com/" for i in range(100)]), outcomes(spark, list(enumerate(bad)))
+    )
+    blocked = {r["host"] for r in apart.where("verdict = 'block'").collect()}
+    assert blocked <= ({"h0.com", "h1.com", "h2.com"} if bad == [1, 1, 1] else set())
+    urls = [f"http://h0.com/{i}" for i in range(len(bad))] + [f"http://h{i}.com/" for i in range(1, 100)]
+    one = url_filter.judge_pages(pages(spark, urls), outcomes(spark, list(enumerate(bad))))
+    assert {r["host"] for r in one.where("verdict = 'block'").collect()} <= ({"h0.com"} if bad == [1, 1, 1] else set())
 
 
 def test_repeated_and_null_labels_and_no_rows(spark):
