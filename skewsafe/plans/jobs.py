@@ -22,6 +22,7 @@ from skewsafe.operators.aggregate import (
     with_null_order_id,
     with_run_timestamp,
 )
+from skewsafe.operators.sketches import heavy_keys, heavy_sketch
 from skewsafe.operators.skew import hot_key_list
 from skewsafe.schemas import TARGET, TARGET_V3, with_field
 from skewsafe.sinks.versions import VersionedTable
@@ -45,6 +46,7 @@ class JobResult:
     rows: int
     seconds: float
     reports: dict[str, DataFrame] = field(default_factory=dict)
+    hot_keys: list = field(default_factory=list)
 
 
 def _timed(name: str, path: str, spark: SparkSession, schema: T.StructType, write, reports_of=None) -> JobResult:
@@ -95,25 +97,37 @@ def pipeline_v3(
     run_ts: _dt.datetime | None = None,
     batch_id: int = 0,
     detect_sample: float | None = None,
+    key_source: DataFrame | None = None,
 ) -> JobResult:
     """Filtered scan, salted two-phase aggregate, clustered day partitions.
 
     ``hot_keys=None`` detects keys holding ``min_share`` of the rows (a
     bounded list), from a ``detect_sample`` fraction of them when given.
+    With ``key_source`` (``partition_key`` of the rows, or of a superset, read
+    where it is cheapest) they come from a heavy-hitter sketch of that frame
+    instead, without a pass over ``rows`` and their join. Which keys are salted
+    never changes the result; ``JobResult.hot_keys`` says which were.
     The whole table is overwritten; its rows are batch ``batch_id``, so later
     appends (:func:`incremental_append`) are replay-safe.
     """
     spark = rows.sparkSession
     if since is not None:
         rows = filter_since(rows, since)
-    hot = hot_keys if hot_keys is not None else hot_key_list(rows, "partition_key", min_share, detect_sample)
+    if hot_keys is not None:
+        hot = hot_keys
+    elif key_source is not None:
+        hot = heavy_keys(heavy_sketch(key_source, "partition_key", min_share), min_share)
+    else:
+        hot = hot_key_list(rows, "partition_key", min_share, detect_sample)
     result = with_run_timestamp(with_null_order_id(aggregate_salted(rows, hot, salt_buckets)), run_ts)
 
     def write():
         replace_with_batch(result, path, batch_id, ("date",), ("partition_key", "customer_id"))
 
-    return _timed("v3", path, spark, TARGET_BATCHED, write,
-                  lambda t: {"top_partitions": reports.top_partitions(t)})
+    out = _timed("v3", path, spark, TARGET_BATCHED, write,
+                 lambda t: {"top_partitions": reports.top_partitions(t)})
+    out.hot_keys = list(hot)
+    return out
 
 
 def incremental_append(batch: DataFrame, path: str, batch_id: int, run_ts: _dt.datetime | None = None) -> JobResult:

@@ -102,6 +102,36 @@ v AS (SELECT partition_key, customer_id, product, {exact_sum('amount', 76)} AS t
       FROM t GROUP BY partition_key, customer_id, product)
 SELECT *, total_amount / order_count AS avg_amount FROM v"""
 
+def _money(expr: str) -> str:
+    return f"COALESCE(CAST(CAST({expr} AS DECIMAL(28,6)) AS VARCHAR), '-')"
+
+
+def _lines(name: str, order: str, columns: list[str], source: str, limit: int | None = None) -> str:
+    """A report as (report, position, line): columns separated by tabs."""
+    line = " || chr(9) || ".join(columns)
+    rows = f"SELECT '{name}' AS report, CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INTEGER) AS position, {line} AS line FROM ({source}) r"
+    return f"SELECT * FROM ({rows}) q" + (f" WHERE position <= {limit}" if limit else "")
+
+
+_MOST = "record_count DESC, partition_key"
+# The run's reports: the v2 table holds the first arrival (a), the final one both (s).
+JOB_ALL = f"WITH {BATCHES}, s AS (SELECT * FROM a UNION ALL SELECT * FROM b) " + " UNION ALL ".join([
+    _lines("partition_distribution", _MOST, ["partition_key", "CAST(record_count AS VARCHAR)"],
+           "SELECT partition_key, COUNT(*) AS record_count FROM a GROUP BY partition_key", 10),
+    _lines("top_partitions", _MOST, ["partition_key", "CAST(record_count AS VARCHAR)", _money("mean")],
+           "SELECT partition_key, COUNT(*) AS record_count, CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(total_amount) AS mean "
+           "FROM s GROUP BY partition_key", 10),
+    _lines("total_rows", "total", ["CAST(total AS VARCHAR)"], "SELECT COUNT(*) AS total FROM s"),
+    _lines("top_customers", "total_spent DESC, customer_id", ["customer_id", _money("total_spent"), "CAST(n AS VARCHAR)"],
+           "SELECT customer_id, ROUND(SUM(total_amount), 2) AS total_spent, COUNT(*) AS n FROM s GROUP BY customer_id", 10),
+    _lines("daily_metrics", "date", ["date", "CAST(customers AS VARCHAR)", _money("revenue"), _money("mean")],
+           "SELECT date, COUNT(DISTINCT customer_id) AS customers, ROUND(SUM(total_amount), 2) AS revenue, "
+           f"{exact_sum('avg_amount', 60)} / COUNT(avg_amount) AS mean FROM s GROUP BY date"),
+])
+
+_SKETCHED = ("COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS unique_customer_id, COUNT(DISTINCT order_id) AS unique_order_id, "
+             "COUNT(*) AS sketched_rows, TRUE AS customer_id_within_bound, TRUE AS order_id_within_bound FROM t")
+
 ORACLE_SQL: dict[str, str] = {
     "agg_wide_range": WIDE,
     "agg_wide_range_salted": WIDE,
@@ -118,6 +148,15 @@ ORACLE_SQL: dict[str, str] = {
     "job_v1": _with(T, V) + _job("v"),
     "job_v2": _with(T, V) + _job("v"),
     "job_v3": f"WITH v AS ({_v_between(SINCE_DAY, None)}) " + _job("v"),
+    "job_v3_detected": f"WITH v AS ({_v_between(SINCE_DAY, None)}), k AS (SELECT partition_key FROM ({CTE_T}) t GROUP BY partition_key "
+    "QUALIFY COUNT(*) >= 0.05 * SUM(COUNT(*)) OVER ()) "
+    "SELECT *, (SELECT string_agg(partition_key, ',' ORDER BY partition_key) FROM k) AS hot_keys FROM (" + _job("v") + ") j",
+    "job_all": JOB_ALL,
+    "distinct_sketches": _with(T) + f"SELECT date, {_SKETCHED} GROUP BY date UNION ALL SELECT 'all' AS date, {_SKETCHED}",
+    "clustered_table": _with(T, V) + "SELECT partition_key, customer_id, ROUND(SUM(total_amount), 2) AS total_amount, "
+    "CAST(SUM(order_count) AS BIGINT) AS order_count, MIN(date) AS date, ROUND(SUM(total_amount), 2) / SUM(order_count) AS avg_amount "
+    "FROM v GROUP BY partition_key, customer_id",
+    "catalog_overwrite": f"WITH {BATCHES} SELECT *, CAST(2 AS BIGINT) AS versions FROM a UNION ALL SELECT *, CAST(2 AS BIGINT) AS versions FROM b",
     "job_append": f"WITH {BATCHES}, s AS (SELECT * FROM a UNION ALL SELECT * FROM b) " + _job("s"),
     "orders_adapter": _with(T) + "SELECT * FROM t",
     "scan_filter_pushdown": _with(T) + f"SELECT * FROM t WHERE date >= '{SINCE_DAY}'",

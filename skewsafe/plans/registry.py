@@ -25,23 +25,27 @@ from skewsafe.operators.aggregate import (
     with_run_timestamp,
 )
 from skewsafe.operators.exact import aggregate_orders_exact
+from skewsafe.operators.sketches import daily_sketches, merged_estimates, within_bound
 from skewsafe.operators.skew import detect_hot_keys
 from skewsafe.plans import jobs
 from skewsafe.plans.oracle import AS_OF_DAY, PAGE_SPAN, REPLAY_DAY, SINCE_DAY, SPLIT_DAY, WIDE_AMOUNT
+from skewsafe.plans.run import job_all
 from skewsafe.schemas import GROUP_KEYS, ORDERS, TARGET, TARGET_V3, with_field
 from skewsafe.session import shared_dir
-from skewsafe.sinks.versions import VersionedTable
+from skewsafe.sinks.versions import ReplacedTable, VersionedTable
 from skewsafe.sinks.writers import (
     append_by_name,
     create_target_tables,
+    ensure_namespace,
     insert_by_name,
     read_target,
+    save_clustered_table,
     staged_publish,
     write_batch,
     write_clustered,
     write_day_partitioned,
 )
-from skewsafe.sources.tables import orders_from_tpch, plant_faults, preview, read_table
+from skewsafe.sources.tables import orders_from_tpch, partition_keys_from_tpch, plant_faults, preview, read_table
 from skewsafe.streaming.append_stream import batch_budget, orders_stream, run_append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +57,8 @@ SALT_BUCKETS = 10
 CATALOG_DB = "skewsafe_queries"
 # The stream query works off its backlog in about so many micro-batches.
 STREAM_BATCHES = 4
+# Buckets of the clustered table: its rows are groups, at most some hundred thousand by the adapter's fixed keys.
+CLUSTER_BUCKETS = 8
 # Amount of the sub-cent queries: the discount granted on a line.
 DISCOUNT = "cast(cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(18,2)) as double)"
 
@@ -220,6 +226,70 @@ def job_v3(spark, sf_dir):
     return _stored(spark, out, jobs.TARGET_BATCHED)
 
 
+def job_v3_detected(spark, sf_dir):
+    """J3 that finds its hot keys: a sketch of one ``lineitem`` column, no second pass over the join.
+
+    ``hot_keys`` names the keys that were salted, in order.
+    """
+    out = jobs.pipeline_v3(orders_from_tpch(spark, sf_dir), shared_dir(spark, "queries", "job_v3_detected"), since=SINCE_DAY,
+                           min_share=HOT_SHARE, salt_buckets=SALT_BUCKETS, run_ts=RUN_TS,
+                           key_source=partition_keys_from_tpch(spark, sf_dir))
+    return _stored(spark, out, jobs.TARGET_BATCHED).withColumn("hot_keys", F.lit(",".join(sorted(out.hot_keys))))
+
+
+def job_all_query(spark, sf_dir):
+    """All phases; the lines of all its reports. The rows are those before SPLIT_DAY, the later batch the rest."""
+    base = shared_dir(spark, "queries", "job_all")
+    rows = orders_from_tpch(spark, sf_dir)
+    database = f"{CATALOG_DB}_{base.rstrip('/').rsplit('/', 1)[-1][:12]}"
+    return job_all(rows.where(F.col("date") < SPLIT_DAY), rows.where(F.col("date") >= SPLIT_DAY), base, database,
+                   key_source=partition_keys_from_tpch(spark, sf_dir), run_ts=RUN_TS)
+
+
+def distinct_sketches(spark, sf_dir):
+    """A9 from stored sketches: per day and over all days, exact counts and whether the estimates are within the bound.
+
+    Each arrival stores its days' sketches; estimates come from the stored table, the whole
+    table's by merging the sketches of all days (``date`` is ``all``).
+    """
+    path = shared_dir(spark, "queries", "daily_sketches")
+    rows = orders_from_tpch(spark, sf_dir)
+    columns = ["customer_id", "order_id"]
+    for batch, part in enumerate((rows.where(F.col("date") < SPLIT_DAY), rows.where(F.col("date") >= SPLIT_DAY))):
+        daily_sketches(part, columns).write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+    stored = spark.read.parquet(path)
+    estimates = merged_estimates(stored, columns, ["date"]).unionByName(
+        merged_estimates(stored, columns).withColumn("date", F.lit("all")))
+    counts = [F.count(F.lit(1)).alias("orders"), *(F.countDistinct(c).alias(f"unique_{c}") for c in columns)]
+    exact = rows.groupBy("date").agg(*counts).unionByName(rows.agg(*counts).withColumn("date", F.lit("all")))
+    both = exact.join(estimates, "date")
+    return both.select("date", "orders", "unique_customer_id", "unique_order_id", F.col("row_count").alias("sketched_rows"),
+                       *(within_bound(f"{c}_estimate", f"unique_{c}").alias(f"{c}_within_bound") for c in columns))
+
+
+def clustered_table(spark, sf_dir):
+    """S9 as a bucketed catalog table: totals per key and customer, read from the buckets without a shuffle."""
+    base = shared_dir(spark, "queries", "clustered_table")
+    name = f"{CATALOG_DB}.clustered_{base.rstrip('/').rsplit('/', 1)[-1][:16]}"
+    ensure_namespace(spark, CATALOG_DB, f"{base}/_db")
+    groups = with_run_timestamp(_v(spark, sf_dir), RUN_TS).withColumn("date_month", F.substring("date", 1, 7))
+    save_clustered_table(groups, name, CLUSTER_BUCKETS, partition_by=["date_month"], bucket_by=["customer_id"], location=f"{base}/table")
+    return rollup_totals(spark.table(name), ["partition_key", "customer_id"])
+
+
+def catalog_overwrite(spark, sf_dir):
+    """S5 on a catalog table: the first arrival stored, then the whole table replaced by both.
+
+    ``versions`` counts the stored versions: the replaced one is still there.
+    """
+    root = shared_dir(spark, "queries", "overwrite")
+    table = ReplacedTable(spark, f"{CATALOG_DB}.replaced_{root.rstrip('/').rsplit('/', 1)[-1][:16]}", TARGET, root)
+    first, later = _arrivals(spark, sf_dir)
+    table.overwrite(with_run_timestamp(first, RUN_TS), ["date", "partition_key"])
+    table.overwrite(with_run_timestamp(first.unionByName(later), RUN_TS), ["date", "partition_key"])
+    return table.read().select(*AGG_COLUMNS, F.lit(len(table.versions())).cast("bigint").alias("versions"))
+
+
 def job_append(spark, sf_dir):
     """J3, then J4: the v3 table with a later batch appended."""
     path = shared_dir(spark, "queries", "job_append")
@@ -354,7 +424,12 @@ QUERIES: dict[str, Query] = {
     "job_v1": job_v1,
     "job_v2": job_v2,
     "job_v3": job_v3,
+    "job_v3_detected": job_v3_detected,
     "job_append": job_append,
+    "job_all": job_all_query,
+    "distinct_sketches": distinct_sketches,
+    "clustered_table": clustered_table,
+    "catalog_overwrite": catalog_overwrite,
     "append_by_name": append_by_name_query,
     "catalog_append_by_name": catalog_append_by_name,
     "append_rollup": append_rollup,

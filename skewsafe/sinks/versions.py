@@ -1,4 +1,4 @@
-"""Batches replaced without a gap: versions and a catalog switch.
+"""Tables and batches replaced without a gap: versions and a catalog switch.
 
 A versioned table is an external catalog table partitioned by ``batch_id``. Each
 write of a batch goes to a folder of its own; when the files are complete and
@@ -49,6 +49,59 @@ def write_checked(df: DataFrame, path: str, schema: T.StructType, sort_by: Seque
     return stored["rows"]
 
 
+def _folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names in ``folder``, sorted; none when it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+
+
+class ReplacedTable:
+    """A whole catalog table that is overwritten without ever being empty or half written.
+
+    The table is external; each overwrite goes to a fresh folder below ``root``,
+    is read back and compared, and one catalog change shows it. A failed or wrong
+    write leaves the rows that readers see. A query already planned goes on
+    with the files it listed: they stay until :meth:`drop_old_versions`.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, schema: T.StructType, root: str, fmt: str = "parquet"):
+        self.spark, self.name, self.schema, self.root, self.fmt = spark, name, schema, root.rstrip("/"), fmt
+        if "." in name:
+            ensure_namespace(spark, name.split(".")[0], f"{self.root}/_db")
+        # The empty first folder is not a version.
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING {fmt} LOCATION '{self.root}/none'")
+
+    def overwrite(self, df: DataFrame, sort_by: Sequence[str] = ()) -> int:
+        """Make ``df`` (possibly no rows) the whole table; returns its row count."""
+        version = f"{self.root}/versions/{uuid.uuid4().hex}"
+        rows = write_checked(df, version, self.schema, sort_by, self.fmt)
+        self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{version}'")
+        self.spark.catalog.refreshTable(self.name)
+        return rows
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def current(self) -> str:
+        """Folder that readers see."""
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.name}").collect()
+        return next(r[1] for r in rows if r[0] == "Location")
+
+    def versions(self) -> list[str]:
+        """Names of the stored version folders, complete or not."""
+        return _folders(self.spark, f"{self.root}/versions")
+
+    def drop_old_versions(self) -> list[str]:
+        """Delete every version that readers do not see; returns their names. For times without a writer."""
+        seen = self.current().rstrip("/").rsplit("/", 1)[-1]
+        dropped = [v for v in self.versions() if v != seen]
+        for v in dropped:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/versions/{v}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return dropped
+
+
 class VersionedTable:
     """A table of batches at ``root``, each batch one of its stored versions."""
 
@@ -90,9 +143,7 @@ class VersionedTable:
 
     def versions(self, batch_id: int) -> list[str]:
         """Names of the batch's stored version folders, complete or not."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(batch_id))
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+        return _folders(self.spark, self._folder(batch_id))
 
     def drop_old_versions(self, batch_id: int) -> list[str]:
         """Delete every version that readers do not see; returns their names. For times without a writer of this batch."""

@@ -104,14 +104,27 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str] = ("part
 def save_clustered_table(df: DataFrame, table: str, buckets: int,
                          cluster_by: Sequence[str] = ("partition_key", "customer_id"),
                          partition_by: Sequence[str] = ("date",), fmt: str = "parquet",
-                         mode: str = "overwrite") -> None:
-    """Catalog form of S9: bucketed and sorted by ``cluster_by``, partitioned by day.
-
-    Later joins or aggregations on ``cluster_by`` read the buckets without a
-    shuffle.
+                         mode: str = "overwrite", bucket_by: Sequence[str] | None = None,
+                         location: str | None = None) -> None:
+    """Catalog form of S9: bucketed by ``bucket_by``, sorted by ``cluster_by``, partitioned by day.
+
+    Rows are laid out by bucket before the write, one task per bucket, so the
+    table has at most days x buckets files; without this every task would write
+    its own file for each day and bucket it meets. ``bucket_by`` (default: all of
+    ``cluster_by``) must not be a hot column alone: a bucket is one task's. With
+    one column, a filter on it reads its bucket only, and any aggregate or join
+    whose keys include it needs no shuffle.
+
+    ``location`` makes it an external table there (a default warehouse folder
+    may be machine-local).
     """
-    (df.write.format(fmt).mode(mode).partitionBy(*partition_by)
-     .bucketBy(buckets, *cluster_by).sortBy(*cluster_by).saveAsTable(table))
+    by = list(bucket_by or cluster_by)
+    laid = df.repartition(buckets, *by).sortWithinPartitions(*partition_by, *cluster_by)
+    writer = laid.write.format(fmt).mode(mode).partitionBy(*partition_by).bucketBy(buckets, *by).sortBy(*cluster_by)
+    if location:
+        writer = writer.option("path", location)
+    with conf_override(df.sparkSession, _NO_COALESCE):
+        writer.saveAsTable(table)
 
 
 def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
