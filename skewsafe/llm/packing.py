@@ -42,8 +42,6 @@ SLACK = 0.005
 STEP = 0.5
 #: How fast a price falls with the covered share.
 ETA = 2.0
-#: Pieces that best fit places one by one at the end; more are first filled in bulk.
-SINGLE_PIECES = 300_000
 #: A rank block holds about this share of all pieces at most.
 BLOCKS = 1000
 
@@ -193,60 +191,61 @@ def round_solution(
             out.append((Counter(dict(key)), copies))
             for i, n in key:
                 left[i] -= n * copies
-    out += _bulk_fill(left, lengths, capacity)
     out += _best_fit(left, lengths, capacity)
     return out
 
 
-def _bulk_fill(left: np.ndarray, lengths: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
-    """Configurations of the largest lengths that fit, each as often as ``left`` allows, while ``left`` is large.
+def _best_fit(left: np.ndarray, lengths: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
+    """Best-fit decreasing of the pieces in ``left``, as if piece by piece, done by counts.
 
-    Every step uses up a length or nearly so: a few steps per length, however
-    many pieces there are. Takes what it packs out of ``left``.
+    Sequences with equal contents are one entry with a count. Best fit puts a
+    length into the fullest sequences that still take it, and goes on with the
+    same sequence while it takes more; so a step fills a whole entry, and only
+    the last one of a length is split. The steps depend on the number of lengths,
+    not on the number of pieces.
     """
-    out: list[tuple[Counter, int]] = []
-    at = {int(size): i for i, size in enumerate(lengths)}
-    mask = sum(1 << int(lengths[i]) for i in np.flatnonzero(left))
-    while int(left.sum()) > SINGLE_PIECES:
-        config, room, free = Counter(), capacity, mask
-        while fits := free & ((1 << (room + 1)) - 1):
-            size = fits.bit_length() - 1
-            i = at[size]
-            config[i] += 1
-            room -= size
-            if config[i] == left[i]:
-                free &= ~(1 << size)
-        copies = min(int(left[i]) // n for i, n in config.items())
-        out.append((config, copies))
-        for i, n in config.items():
-            left[i] -= n * copies
-            if not left[i]:
-                mask &= ~(1 << int(lengths[i]))
-    return out
+    # room -> entries (contents as (length number, pieces) pairs, copies) with that room
+    open_at: dict[int, list[tuple[tuple, int]]] = {}
+    mask = 0
+    full: list[tuple[tuple, int]] = []
 
+    def put(room: int, contents: tuple, copies: int) -> None:
+        nonlocal mask
+        if copies and room:
+            open_at.setdefault(room, []).append((contents, copies))
+            mask |= 1 << room
+        elif copies:
+            full.append((contents, copies))
 
-def _best_fit(left: np.ndarray, lengths: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
-    """Best-fit decreasing of the pieces in ``left``, one by one."""
-    contents: list[list[int]] = []
-    open_at: dict[int, list[int]] = {}  # room -> sequences with that room
-    mask = 0
     for i in range(len(lengths) - 1, -1, -1):
-        size = int(lengths[i])
-        for _ in range(int(left[i])):
+        size, n = int(lengths[i]), int(left[i])
+        done: list[tuple[int, tuple, int]] = []  # filled as far as this length goes
+        while n:
             if fits := mask >> size:
                 room = size + (fits & -fits).bit_length() - 1
-                sequence = open_at[room].pop()
+                contents, copies = open_at[room].pop()
                 if not open_at[room]:
+                    del open_at[room]
                     mask &= ~(1 << room)
             else:
-                room, sequence = capacity, len(contents)
-                contents.append([])
-            contents[sequence].append(i)
-            if room > size:
-                open_at.setdefault(room - size, []).append(sequence)
-                mask |= 1 << (room - size)
-    equal = Counter(map(tuple, contents))
-    return [(Counter(items), copies) for items, copies in equal.items()]
+                room, contents, copies = capacity, (), -(-n // (capacity // size))
+            each = room // size
+            filled, rest = min(copies, n // each), 0
+            if filled < copies:
+                rest = n - filled * each  # goes into one more copy; the others stay as they are
+                if rest:
+                    done.append((room - rest * size, (*contents, (i, rest)), 1))
+                if untouched := copies - filled - (1 if rest else 0):
+                    put(room, contents, untouched)
+            if filled:
+                done.append((room - each * size, (*contents, (i, each)), filled))
+            n -= filled * each + rest
+        for room, contents, copies in done:
+            put(room, contents, copies)
+    equal: Counter = Counter()
+    for contents, copies in [*full, *(entry for entries in open_at.values() for entry in entries)]:
+        equal[contents] += copies
+    return [(Counter(dict(contents)), copies) for contents, copies in equal.items()]
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
@@ -348,8 +347,10 @@ def pack(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY, rounds: i
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their sequence and place (columns of ``token_pieces``, then of ``pack``)."""
-    pieces = staged(token_pieces(docs, tokenizer_path, capacity=capacity), "pieces")
-    return pack(pieces, ["doc_id", "piece", "ids_crc32"], capacity)
+    # A stored number tells equal rows apart, so that copies of one row are spread over the rank blocks too.
+    numbered = token_pieces(docs, tokenizer_path, capacity=capacity).withColumn("_row", F.monotonically_increasing_id())
+    pieces = staged(numbered, "pieces")
+    return pack(pieces, ["doc_id", "piece", "ids_crc32", "_row"], capacity).drop("_row")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

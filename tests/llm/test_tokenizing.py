@@ -172,3 +172,46 @@ def test_very_long_white_space(space):
         run = (space * n)[:n]
         if space != "\x1c":  # not white space for the pattern
             assert ranks.decode_bytes(bpe.encode_text("a" + run + "b", ranks)) == ("a" + run + "b").encode()
+
+
+def _piecewise(pieces, capacity):
+    """Rooms left by best-fit decreasing, one piece after the other."""
+    rooms = []
+    for size in sorted(pieces, reverse=True):
+        fits = [r for r in rooms if r >= size]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else capacity) - size)
+    return sorted(rooms)
+
+
+def test_best_fit_by_counts_is_best_fit_piece_by_piece():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        capacity = int(rng.integers(5, 60))
+        pieces = np.minimum(*rng.integers(1, capacity + 1, (2, int(rng.integers(0, 120)))))
+        lengths, demand = np.unique(pieces, return_counts=True)
+        rooms, placed = [], Counter()
+        for config, copies in packing._best_fit(demand, lengths, capacity):
+            rooms += [capacity - sum(int(lengths[i]) * n for i, n in config.items())] * copies
+            placed.update({i: n * copies for i, n in config.items()})
+        assert sorted(rooms) == _piecewise(pieces.tolist(), capacity)
+        assert [placed[i] for i in range(len(lengths))] == demand.tolist()
+
+
+def test_best_fit_steps_do_not_grow_with_the_pieces():
+    lengths = np.arange(1, 4097)
+    for each in (10, 10**7):
+        found = packing._best_fit(np.full(4096, each), lengths, 4096)
+        assert len(found) < 3 * 4096
+        assert sum(copies * sum(config.values()) for config, copies in found) == 4096 * each
+
+
+def test_copies_of_one_row_are_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCKS", 3)
+    rows = docs(spark, ["the same words"] * 4000, [7] * 4000)
+    packed = packing.pack_documents(rows, P.path("word_bpe_49k.json"), 64).collect()
+    assert len(packed) == 4000 and "_row" not in packed[0]
+    assert len({(r["sequence_id"], r["offset"]) for r in packed}) == 4000
+    per_sequence = 64 // packed[0]["length"]
+    assert len({r["sequence_id"] for r in packed}) == -(-4000 // per_sequence)
