@@ -101,6 +101,26 @@ def test_the_models_learn_from_the_whole_sample(spark):
     assert np.isin(grams.key(6, ends), tables["top"]).all()
 
 
+def test_the_models_learn_from_every_labelled_row(spark):
+    """More labelled rows of both classes than the sample once took; the tables are those of all words."""
+    texts = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(5600)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(5600)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs(spark, texts).repartition(4), labels)
+    tables = model.shared.value
+    want = toxicity.fit(texts, np.array([[i % 3 != 0, i % 3 == 0] for i in range(5600)], float))
+    assert set(tables) == set(want)
+    for name, values in want.items():
+        assert np.array_equal(tables[name], values), name
+
+
+def test_curve_from_sums_of_tasks(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(700, toxicity.FEATURES)) * [1, 2, 3, 4, 5, 6] + 1
+    y = (x[:, 0] + rng.normal(size=700) > 1.5).astype(int)
+    rows = spark.createDataFrame([(int(t), r.tolist()) for t, r in zip(y, x)], "toxic int, x array<double>").repartition(5)
+    assert np.allclose(toxicity._newton(toxicity._sums(rows), 1.0), toxicity.calibrate(x, y.astype(float)), atol=1e-8)
+
+
 def test_scores_do_not_depend_on_other_columns(spark):
     labels = table(spark, SF_MID, "labels")
     model = toxicity.train(table(spark, SF_MID, "documents"), labels)
