@@ -121,10 +121,13 @@ def order_list_pages(
     Concatenating a group's pages in ``list_page`` order and repeating the ids
     gives the whole sorted list; no id is dropped.
 
-    Repeats are counted first, so map-side partial aggregation collapses
-    copies of one id before any shuffle, and a page row holds at most
-    ``page_span`` entries however hot its group or id. The pages of one
-    group are built by different tasks.
+    Repeats are counted first, and a page row holds at most ``page_span``
+    entries however hot its group or id. The pages of one group are built by
+    different tasks. Hardly any two rows are alike in keys and id, so a task
+    that counted what it scanned would hold all of it in memory: the rows are
+    first dealt into partitions of AQE's advisory size. They are dealt by a hash
+    of keys and id, so copies meet, and AQE may still split those of a hot id:
+    partial aggregation collapses them before the next shuffle.
 
     Output: ``keys, list_page, order_count, order_list, order_repeats``; ``with_sums=True``
     adds ``page_sum`` and ``page_special`` (exact and non-finite parts of the sum
@@ -142,7 +145,8 @@ def order_list_pages(
         page_aggs += [F.sum("_sum").alias("page_sum"), F.sum("_special").alias("page_special"),
                       F.min("_day").alias("page_day")]
         extra = ["page_sum", "page_special", "page_day"]
-    per_id = df.groupBy(*keys, page, id_col).agg(*id_aggs)
+    dealt = df.withColumn("_deal", F.hash(*keys, id_col)).hint("rebalance", "_deal")
+    per_id = dealt.groupBy(*keys, page, id_col).agg(*id_aggs)
     pages = per_id.groupBy(*keys, "list_page").agg(*page_aggs)
     return pages.select(*keys, "list_page", "order_count", F.col("_ids")[id_col].alias("order_list"),
                         F.col("_ids")["_n"].alias("order_repeats"), *extra)

@@ -99,6 +99,16 @@ def test_hot_join_key_is_split_by_aqe(spark, scratch, op):
     assert "SortMergeJoin(skew=true)" in final
 
 
+def test_id_pages_are_counted_in_partitions_of_bounded_size(spark):
+    """No task counts the ids of all it scanned: AQE sizes the partitions below the first aggregate."""
+    from skewsafe.operators.aggregate import order_list_pages
+
+    pages = order_list_pages(orders_from_tpch(spark, SF_SMALL))
+    text = plan_text(pages, "simple")
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
+    assert text.rindex("HashAggregate") < text.index("REBALANCE_PARTITIONS_BY_COL") < text.index("Join")
+
+
 def test_totals_from_stored_pages_skip_the_id_lists(spark, scratch):
     from skewsafe.operators.aggregate import order_list_pages, totals_from_pages
 
