@@ -90,7 +90,9 @@ def text_edges(texts: pa.Array, langs: pa.Array) -> pa.RecordBatch:
     place[order.to_numpy()] = np.arange(len(distinct))
     codes, distinct = place[codes], distinct.take(order)
     doc = np.searchsorted(at, starts, side="right") - 1
-    piece = np.cumsum(kind == 2)[starts] if len(starts) else starts
+    # By the places of the separators: no number for each byte.
+    piece = np.searchsorted(np.flatnonzero(kind == 2), starts)
+    del data, kind, is_word, ends
     langs = pc.fill_null(langs, "und").dictionary_encode()
     of_doc = langs.indices.to_numpy(zero_copy_only=False)
 
@@ -100,7 +102,10 @@ def text_edges(texts: pa.Array, langs: pa.Array) -> pa.RecordBatch:
     padded = np.concatenate([one, [0, 0]])
     two = np.where(joined[:len(one)], padded[1:len(one) + 1], 0)
     three = np.where(joined[:len(one)] & joined[1:len(one) + 1], padded[2:], 0)
-    columns, counts = _counted([of_doc[doc], one, two, three], [max(1, len(langs.dictionary)), size, size, size])
+    lang = of_doc[doc]
+    del codes, doc, piece, starts, joined, padded
+    columns, counts = _counted([lang, one, two, three], [max(1, len(langs.dictionary)), size, size, size])
+    del lang, one, two, three
 
     words = pa.concat_arrays([pa.array([""], pa.large_string()), distinct])
     first, second, third = (words.take(pa.array(c)) for c in columns[1:])
@@ -120,6 +125,7 @@ def edges(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
                 found = text_edges(texts.slice(a, b - a), langs.slice(a, b - a))
                 for start in range(0, len(found), 100_000):
                     yield found.slice(start, 100_000)
+                del found  # not there any more while the next slice is counted
 
     return docs.select(F.col(text), F.col(lang)).mapInArrow(of_batches, EDGE_TYPE)
 
