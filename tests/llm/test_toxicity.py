@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skewsafe.llm import toxicity
@@ -113,6 +114,41 @@ def test_the_models_learn_from_every_labelled_row(spark):
         assert np.array_equal(tables[name], values), name
 
 
+def test_words_of_all_texts_at_once():
+    texts = [t or "" for t in ODD_TEXTS] + ["ΌΔΟΣ ΣΑΣ. İstanbul_x1 ²a٣b", "ß", "", "\x00\U0001d400b", "don't"]
+    tokens = toxicity._Tokens.of(texts)
+    want = [toxicity.words(t) for t in texts]
+    assert [tokens.word(i) for i in range(len(tokens.hashes))] == [w for some in want for w in some]
+    assert tokens.counts.tolist() == [len(some) for some in want]
+    flat = sorted({w for some in want for w in some})
+    assert len(set(toxicity.word_keys(flat, 0).tolist() + toxicity.word_keys(flat, 1).tolist())) == 2 * len(flat)
+    some, n = toxicity._vocabulary_of(pa.array(texts), np.arange(len(texts)) % 3, 3)
+    count = [Counter(w for t in want[g::3] for w in t) for g in range(3)]
+    assert sorted(some) == flat and [tuple(r) for r in n.tolist()] == [tuple(c[w] for c in count) for w in some]
+
+
+def test_scores_by_words_need_no_whole_model(spark, monkeypatch):
+    """Scores found without any process holding the tables are those by the tables, also of words that were not learned."""
+    monkeypatch.setattr(toxicity, "SLICE_WORDS", 50)
+    rng = np.random.default_rng(5)
+    letters = list("abcdé中")
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 13))) for _ in range(rng.integers(1, 30))) for _ in range(150)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(100)], "doc_id long, quality int, toxic int")
+    all_docs = docs(spark, texts + ODD_TEXTS)
+    model = toxicity.train(all_docs, labels)
+    by_words = model.score_of(all_docs)
+    rows = all_docs.select(by_words.alias("a"), model.score("text").alias("b")).collect()
+    assert len(rows) == len(texts) + len(ODD_TEXTS) and len({round(r["a"], 6) for r in rows}) > 100
+    assert np.allclose([r["a"] for r in rows], [r["b"] for r in rows], rtol=1e-9, atol=1e-12)
+    # What is broadcast: one key and one number for each word.
+    vocabulary = spark.createDataFrame([(w, toxicity._ALL) for w in ("abc", "é", "zz")], "word string, model int")
+    found = toxicity._Words(toxicity._word_evidence(model.windows, model.lowest, vocabulary)).shared.value
+    assert {k: len(v) for k, v in found.items()} == {"word": 3, "e": 3}
+    want = toxicity.evidence(["abc", "é", "zz"], model.shared.value)
+    at = np.argsort(toxicity.word_keys(["abc", "é", "zz"], toxicity._ALL))
+    assert np.allclose(found["e"], want[at], rtol=1e-9, atol=1e-12)
+
+
 def test_curve_from_sums_of_tasks(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(700, toxicity.FEATURES)) * [1, 2, 3, 4, 5, 6] + 1
