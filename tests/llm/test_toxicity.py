@@ -149,6 +149,45 @@ def test_scores_by_words_need_no_whole_model(spark, monkeypatch):
     assert np.allclose(found["e"], want[at], rtol=1e-9, atol=1e-12)
 
 
+def test_ends_hold_two_positions_of_each_gram():
+    """The grams that end at the last two characters of a window; those that end before are not kept."""
+    some = ["\na", "ab ", "\nabcdéf ", "bcdéfghi ", "中文"]
+    ends, whole = toxicity._Ends.of(some), toxicity._Grams.of([w.strip() for w in some])
+    assert ends.grams.keys.shape == (toxicity.ORDER, 2 * len(some))
+    # "\nabcdéf " is a whole word between its marks.
+    last = whole.starts[2] + len(some[2]) - 1
+    for size in range(1, len(some[2])):
+        assert ends.grams.key(size, ends.last[2:3]) == whole.key(size, np.array([last]))
+        assert ends.grams.key(size, ends.last[2:3] - 1) == whole.key(size, np.array([last - 1]))
+    assert toxicity._Ends.of([]).keys().size == 0
+
+
+def test_words_are_found_for_few_characters_at_once():
+    texts = pa.array(["some words " * 2_000] * 100)
+    parts = [(b - a, len(t.joined)) for a, b, t in toxicity._tokens_of(texts, toxicity.TOKEN_CHARS)]
+    assert sum(n for n, _ in parts) == 100 and max(size for _, size in parts) < 300_000
+
+
+def test_texts_are_scored_in_small_batches(spark, monkeypatch):
+    """Both queries write their scores while the batches of texts are small; later reads run no Python."""
+    write, seen = toxicity.staged, []
+
+    def staged(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append((label, "ArrowEvalPython" in plan, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")))
+        return write(df, label)
+
+    monkeypatch.setattr(toxicity, "staged", staged)
+    texts = ["good text of words", "vile words here", "more good text", None] * 10
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 1)) for i in range(40)], "doc_id long, quality int, toxic int")
+    for query in (toxicity.score_documents, toxicity.without_toxic):
+        seen.clear()
+        found = query(docs(spark, texts), labels)
+        assert [x for x in seen if x[1]] == [("toxicity-scored", True, "2000", "4m")]
+        assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == (40 if query is toxicity.score_documents else 30)
+
+
 def test_curve_from_sums_of_tasks(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(700, toxicity.FEATURES)) * [1, 2, 3, 4, 5, 6] + 1
