@@ -36,7 +36,8 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from skewsafe.llm.common import staged
-from skewsafe.llm.word_tokens import text_ids
+from skewsafe.llm.word_tokens import BATCH_CONF, text_ids
+from skewsafe.session import conf_override
 
 WINDOW = 2048
 #: Most pieces of a combination of two lengths.
@@ -396,7 +397,8 @@ def pack(pieces: DataFrame, window: int = WINDOW, depth: int = DEPTH, gap: float
     no rows.
     """
     spark = pieces.sparkSession
-    pieces = staged(pieces.withColumn("uid", F.monotonically_increasing_id()), "nnls-pieces")
+    with conf_override(spark, BATCH_CONF):
+        pieces = staged(pieces.withColumn("uid", F.monotonically_increasing_id()), "nnls-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     place = _place(spark, plan(histogram, window, depth, gap))
     parts = ranked(pieces, histogram).select("uid", "length", F.explode(place("length", "rank")).alias("p"))

@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from skewsafe.llm.common import staged
-from skewsafe.llm.word_tokens import text_ids
+from skewsafe.llm.word_tokens import BATCH_CONF, text_ids
+from skewsafe.session import conf_override
 
 CAPACITY = 4096
 ROUNDS = 24
@@ -349,7 +350,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     """Pieces of all documents with their sequence and place (columns of ``token_pieces``, then of ``pack``)."""
     # A stored number tells equal rows apart, so that copies of one row are spread over the rank blocks too.
     numbered = token_pieces(docs, tokenizer_path, capacity=capacity).withColumn("_row", F.monotonically_increasing_id())
-    pieces = staged(numbered, "pieces")
+    with conf_override(docs.sparkSession, BATCH_CONF):
+        pieces = staged(numbered, "pieces")
     return pack(pieces, ["doc_id", "piece", "ids_crc32", "_row"], capacity).drop("_row")
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import os
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
+import pyarrow as pa
+
 
 @lru_cache(maxsize=4)
 def hf_tokenizer(path: str):
@@ -30,6 +33,18 @@ def rank_encoding(path: str, pattern: str):
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], object]:
+    """The C library's ``malloc_trim``, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: None)
+
+
+def give_back() -> None:
+    """Freed memory returns to the system, so that a worker is no larger than what it holds."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 _held: dict[object, object] = {}
 
 
@@ -42,6 +57,7 @@ def held(key: object, make: Callable[[], object]):
     if key not in _held:
         _held.clear()
         _held[key] = make()
+        give_back()
     return _held[key]
 
 

@@ -1,18 +1,24 @@
 """Operators 1, 9 and 10 against the tokenizer libraries themselves."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 
-from skewsafe.llm import bpe, packing, token_counts
+from skewsafe.llm import bpe, nnls_packing, packing, token_counts, word_tokens
 from skewsafe.llm.bpe_text import safe_chunks, units
 from skewsafe.llm.tokenizers_cache import hf_tokenizer, rank_encoding
 
+from tests.conftest import ROOT
+
 from .helpers import ODD_TEXTS, docs, no_docs
 
 BITS = ["a", "the", " ", "  ", "\n", "\n\n", "\t", "é", "😀", "12", "3", "'s", "'", "re", "<|endoftext|>", "<|endof", "text|>",
@@ -215,3 +221,70 @@ def test_copies_of_one_row_are_spread_over_blocks(spark, monkeypatch):
     assert len({(r["sequence_id"], r["offset"]) for r in packed}) == 4000
     per_sequence = 64 // packed[0]["length"]
     assert len({r["sequence_id"] for r in packed}) == -(-4000 // per_sequence)
+
+
+WORDS_OF_A_WORKER = """
+import random, re, threading, time
+import public_tokenizers as P
+import pyarrow as pa
+from skewsafe.llm.tokenizers_cache import held
+from skewsafe.llm.word_tokens import _WordIds, text_ids
+
+def own():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()).group(1)) / 1024
+
+path, rnd, letters = P.path("word_bpe_49k.json"), random.Random(5), "abcdefghijklmnopqrstuvwxyz"
+texts = pa.array([" ".join("".join(rnd.choices(letters, k=9)) for _ in range(500)) for _ in range(800)])
+held(("packing", path), lambda: _WordIds(path))
+before, peak, over = own(), [0], []
+
+def watch():
+    while not over:
+        peak[0] = max(peak[0], own())
+        time.sleep(0.002)
+
+watcher = threading.Thread(target=watch)
+watcher.start()
+for part in text_ids(texts, path):
+    pass
+over.append(True)
+watcher.join()
+print(peak[0] - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="reads a process's memory from /proc")
+def test_a_worker_holds_little_for_many_words():
+    """400,000 different words in one batch: their ids and what finding them takes stay well below 300 bytes a word."""
+    env = {**os.environ, "PYTHONPATH": os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])}
+    run = subprocess.run([sys.executable, "-c", WORDS_OF_A_WORKER], check=True, cwd=ROOT, env=env, capture_output=True, text=True)
+    assert float(run.stdout) < 130
+
+
+@pytest.mark.parametrize("bound", [0, 3, 40, 10**6])
+def test_ids_do_not_depend_on_what_is_remembered(monkeypatch, bound):
+    path = P.path("word_bpe_49k.json")
+    tokenizer = hf_tokenizer(path)
+    monkeypatch.setattr(word_tokens, "CACHE_UNITS", bound)
+    monkeypatch.setattr(word_tokens, "BATCH_CHARS", 2_000)
+    monkeypatch.setattr("skewsafe.llm.tokenizers_cache._held", {})
+    texts = [*random_texts(30, 6), *ODD_TEXTS, *random_texts(30, 7), *random_texts(30, 6)]
+    for first, ids, at in word_tokens.text_ids(pa.array(texts, pa.string()), path):
+        for i in range(len(at) - 1):
+            want = tokenizer.encode(texts[first + i] or "", add_special_tokens=False).ids
+            assert ids[at[i]:at[i + 1]].tolist() == want
+
+
+@pytest.mark.parametrize("module", [packing, nnls_packing])
+def test_texts_reach_the_tokenizer_in_small_batches(spark, monkeypatch, module):
+    keys, seen, write = list(word_tokens.BATCH_CONF), [], module.staged
+    before = [spark.conf.get(k, None) for k in keys]
+
+    def noted(df, label):
+        seen.append((label, [spark.conf.get(k, None) for k in keys]))
+        return write(df, label)
+
+    monkeypatch.setattr(module, "staged", noted)
+    module.pack_documents(docs(spark, ["a b", None, "c"]), P.path("word_bpe_49k.json")).collect()
+    assert seen[0][1] == list(word_tokens.BATCH_CONF.values())
+    assert [spark.conf.get(k, None) for k in keys] == before
